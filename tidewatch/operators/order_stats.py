@@ -45,7 +45,8 @@ def ranked_counts(counts: DataFrame, cell: Column, by: Sequence[str] = (), wante
     ``wanted`` is a predicate over the cell row (``cell_before``, ``cell_n``, ``total``) that keeps
     only the cells worth looking into.
     """
-    counts = counts.withColumn("cell", cell)
+    # A cell known to be non-null adds no filter, so both uses of the counts share one shuffle.
+    counts = counts.withColumn("cell", F.coalesce(cell, F.lit(0)))
     in_order = W.partitionBy(*by).orderBy("cell")
     cells = (
         counts.groupBy(*by, "cell")

@@ -6,10 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def request_columns() -> list[Column]:
-    """Access-log columns derived from one event row."""
+def requests(events: DataFrame) -> DataFrame:
+    """Access-log columns of event rows. ``k`` is read from the JSON once, in its own projection."""
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("int")).select(*_request_columns())
+
+
+def _request_columns() -> list[Column]:
     kind, user = F.col("event_type"), F.col("user_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     part = k % 10
     probe = (
         F.when(part == 0, "/search?q=' UNION SELECT * FROM users --")
@@ -68,4 +72,4 @@ def with_data(logs: DataFrame) -> DataFrame:
 
 def access_logs(spark: SparkSession, folder: str) -> DataFrame:
     """All events as ``raw_logs`` rows (time without zone, as stored)."""
-    return with_data(spark.read.parquet(f"{folder}/events.parquet").select(*request_columns()))
+    return with_data(requests(spark.read.parquet(f"{folder}/events.parquet")))
