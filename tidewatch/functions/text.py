@@ -48,14 +48,18 @@ def log_level(status: Column) -> Column:
 
 
 def age_text(seconds: Column) -> Column:
-    """Seconds as a short age: whole seconds, else one decimal of minutes, hours or days."""
-    def shown(pattern: str, divisor: float) -> Column:
-        return F.format_string(pattern, seconds.cast("double") / F.lit(divisor))
+    """Seconds as a short age: whole seconds, else one decimal of minutes, hours or days.
+
+    ``format_number`` rounds the exact binary value, half to even.
+    """
+    def shown(pattern: str, divisor: float, unit: str) -> Column:
+        value = seconds.cast("double") / F.lit(divisor)
+        return F.concat(F.call_function("format_number", value, F.lit(pattern)), F.lit(unit))
 
     return (
         F.when(seconds.isNull(), "-")
-        .when(seconds < 60, shown("%.0fs", 1.0))
-        .when(seconds < 3600, shown("%.1fm", 60.0))
-        .when(seconds < 86400, shown("%.1fh", 3600.0))
-        .otherwise(shown("%.1fd", 86400.0))
+        .when(seconds < 60, shown("0", 1.0, "s"))
+        .when(seconds < 3600, shown("0.0", 60.0, "m"))
+        .when(seconds < 86400, shown("0.0", 3600.0, "h"))
+        .otherwise(shown("0.0", 86400.0, "d"))
     )
