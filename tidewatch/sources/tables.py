@@ -25,9 +25,17 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, hig
     )
 
 
-def append_logs(logs: DataFrame, path: str) -> None:
-    """Append log rows, laid out by day so that time filters skip whole folders."""
-    logs.withColumn("date", F.to_date("timestamp")).write.mode("append").partitionBy("date").parquet(path)
+def append_logs(logs: DataFrame, path: str, rebalance: bool = True) -> None:
+    """Append log rows, laid out by day so that time filters skip whole folders.
+
+    Rows are first rebalanced by day: adaptive execution merges small days into one task and splits a
+    day that holds much of the data over several, so files come out neither tiny nor huge. Input that
+    is already in day order can skip that shuffle.
+    """
+    rows = logs.withColumn("date", F.to_date("timestamp"))
+    if rebalance:
+        rows = rows.hint("rebalance", "date")
+    rows.write.mode("append").partitionBy("date").parquet(path)
 
 
 def load_logs(spark: SparkSession, path: str, days: int = 90, as_of: Column | None = None) -> DataFrame:
