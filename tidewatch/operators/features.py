@@ -133,20 +133,20 @@ def ip_moments(logs: DataFrame) -> DataFrame:
 
 
 def endpoint_profiles(logs: DataFrame) -> DataFrame:
-    """One row per (method, endpoint): response-time mean and deviation, usual hour, counts, entropy."""
+    """One row per (method, endpoint): response-time mean and deviation, usual hour, counts, entropy.
+
+    Counts and the usual hour come from one table of at most 24 rows per (method, endpoint).
+    """
     times = logs.groupBy("endpoint").agg(
         F.avg("response_time_ms").alias("_endpoint_mean"),
         F.stddev_samp("response_time_ms").alias("_endpoint_std"),
-        F.count(F.lit(1)).alias("_endpoint_rows"),
     )
-    hours = (
-        logs.groupBy("endpoint", F.hour("timestamp").alias("hour"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("endpoint")
-        .agg(F.expr("percentile(hour, 0.5D, n)").alias("_endpoint_hour"))
+    hourly = logs.groupBy("endpoint", "method", F.hour("timestamp").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = hourly.groupBy("endpoint", "method").agg(F.sum("n").alias("_pair_rows"))
+    whole = hourly.groupBy("endpoint").agg(
+        F.sum("n").alias("_endpoint_rows"), F.expr("percentile(hour, 0.5D, n)").alias("_endpoint_hour")
     )
-    pairs = logs.groupBy("endpoint", "method").agg(F.count(F.lit(1)).alias("_pair_rows"))
-    per_endpoint = times.join(hours, "endpoint").withColumn("endpoint_entropy", entropy(F.col("endpoint")))
+    per_endpoint = times.join(whole, "endpoint").withColumn("endpoint_entropy", entropy(F.col("endpoint")))
     return pairs.join(per_endpoint, "endpoint")
 
 

@@ -43,7 +43,7 @@ def ranked_counts(counts: DataFrame, cell: Column, by: Sequence[str] = (), wante
     """Add ``before`` (rows with a smaller value) and ``total`` to value counts.
 
     ``wanted`` is a predicate over the cell row (``cell_before``, ``cell_n``, ``total``) that keeps
-    only the cells worth looking into.
+    only the cells that hold a wanted rank.
     """
     # A cell known to be non-null adds no filter, so both uses of the counts share one shuffle.
     counts = counts.withColumn("cell", F.coalesce(cell, F.lit(0)))
@@ -56,6 +56,8 @@ def ranked_counts(counts: DataFrame, cell: Column, by: Sequence[str] = (), wante
     )
     if wanted is not None:
         cells = cells.filter(wanted)
+        if not by:
+            cells = F.broadcast(cells)  # at most one cell per wanted rank
     inside = W.partitionBy(*by, "cell").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
     return (
         counts.join(cells, [*by, "cell"])
@@ -142,7 +144,7 @@ def rank_cuts(
         .filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
         .select("cut", F.col("value").alias("major"), (F.col("rank") - F.col("before")).alias("rest"))
     )
-    tied = majors.join(keyed, "major")
+    tied = keyed.join(F.broadcast(majors), "major")  # one row per cut
     inside = (F.col("rest") >= F.col("cell_before")) & (F.col("rest") < F.col("cell_before") + F.col("cell_n"))
     keys = ["cut", "major", "rest"]
     return (

@@ -138,8 +138,19 @@ def rule(name: str) -> Rule:
     raise ValueError(f"unknown rule: {name}")
 
 
+def with_agent(logs: DataFrame) -> DataFrame:
+    """Take the user agent from the JSON record where it has no column of its own.
+
+    Ingestion fills both from the same record; reading the column spares the wide JSON.
+    """
+    if "user_agent" in logs.columns or "data" not in logs.columns:
+        return logs
+    return logs.withColumn("user_agent", F.get_json_object("data", "$.user_agent"))
+
+
 def usable_rules(logs: DataFrame, rules: Sequence[Rule] = RULES) -> tuple[list[Rule], list[Rule]]:
     """Split rules into those whose columns resolve on ``logs`` and those that would fail."""
+    logs = with_agent(logs)
     good, bad = [], []
     for candidate in rules:
         try:
@@ -152,6 +163,7 @@ def usable_rules(logs: DataFrame, rules: Sequence[Rule] = RULES) -> tuple[list[R
 
 def tagged(logs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """One row per (log, matching rule) with that rule's group key columns filled in."""
+    logs = with_agent(logs)
     if len(rules) == 1:
         rows = logs.filter(rules[0].matches()).withColumn("alert_type", F.lit(rules[0].name))
     else:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewatch.functions.columns import recent
+from tidewatch.session import written
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None, kind: str = "parquet", **options) -> DataFrame:
@@ -63,11 +64,20 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def append_first_scores(scores: DataFrame, path: str) -> None:
-    """Append scores of logs not scored before; an already stored score stays as it is."""
+    """Append scores of logs not scored before; an already stored score stays as it is.
+
+    The new scores are written once to the shared folder, so they are not computed again for the
+    comparison, and only stored scores in their id range are compared: ids grow with time, so the
+    range skips almost all of a long table.
+    """
     spark = scores.sparkSession
-    fresh = scores.dropDuplicates(["log_id"])
+    fresh = written(scores.dropDuplicates(["log_id"]), "fresh-scores")
     if exists(spark, path):
-        fresh = unscored(fresh, spark.read.parquet(path))
+        low, high = fresh.agg(F.min("log_id"), F.max("log_id")).first()
+        if low is None:
+            return
+        stored = spark.read.parquet(path).filter(F.col("log_id").between(low, high))
+        fresh = unscored(fresh, stored)
     fresh.write.mode("append").parquet(path)
 
 
