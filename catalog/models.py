@@ -17,17 +17,24 @@ from tidewatch.schemas import FEATURES
 from tidewatch.session import shared_folder, written
 
 ISOLATION = I.IsolationConfig(n_estimators=100)
-FOREST = {"name": "20/balanced", "trees": 20, "balanced": True, "thresholds": [0.3, 0.4, 0.5, 0.6]}
+FOREST = {"name": "10/balanced", "trees": 10, "balanced": True, "thresholds": [0.3, 0.4, 0.5, 0.6]}
 COLUMNS = [
     "status_code", "response_time_ms", "requests_per_ip_5min", "hour_of_day", "day_of_week", "endpoint_length",
     "endpoint_entropy", "time_since_last_request", "requests_per_minute", "endpoint_rarity",
 ]
 
 
+_STORED: dict[tuple[str, str], object] = {}
+
+
 def dataset(spark, folder):
-    rows = logs(spark, folder)
-    labelled = D.label_logs(E.extract_features(rows), attack_members(rows))
-    return written(D.with_protocol(labelled).drop("data"), "model-data")
+    """The training data set, written once per application and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _STORED:
+        rows = logs(spark, folder)
+        labelled = D.label_logs(E.extract_features(rows), attack_members(rows))
+        _STORED[key] = written(D.with_protocol(labelled).drop("data"), "model-data")
+    return _STORED[key]
 
 
 def _fit_score(spark, folder):

@@ -57,7 +57,7 @@ def test_sampling_regimes(spark):
     """Few rows, some rows, many rows: every tree gets its full sample, and no row twice."""
     for n, trees, samples in ((50, 20, 32), (900, 20, 64), (30000, 10, 32)):
         config = I.IsolationConfig(n_estimators=trees, max_samples=samples)
-        drawn = I.tree_samples(spark.range(n).withColumnRenamed("id", "log_id"), config)
+        drawn = I.tree_samples(spark.range(n).withColumnRenamed("id", "log_id"), n, config)
         sizes = drawn.groupBy("tree").agg(F.count("log_id").alias("n"), F.count_distinct("log_id").alias("d")).collect()
         assert len(sizes) == trees and all(r["n"] == r["d"] == min(samples, n) for r in sizes), (n, trees)
 
@@ -65,6 +65,8 @@ def test_sampling_regimes(spark):
 def test_holes_take_the_median(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None), (3, float("inf")), (4, 3.0), (5, float("nan"))], "log_id long, a double")
     assert [r["a"] for r in I.filled_inputs(df, ["a"]).orderBy("log_id").collect()] == [1.0, 2.0, 2.0, 3.0, 2.0]
+    rows, total, scale = I.prepared_inputs(df, ["a"])
+    assert total == 5 and scale["a"][0] == 2.0 and rows.filter("a is null").count() == 0
     empty = I.filled_inputs(df.withColumn("a", F.lit(None).cast("double")), ["a"])
     assert empty.first()["a"] == 0.0
 

@@ -95,17 +95,17 @@ class IsolationModel:
     nodes: pd.DataFrame
 
 
-def filled_inputs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Infinite and missing values replaced by the column's median in this frame, else 0."""
+def _cleaned(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Infinite values and not-a-number as null."""
     def clean(name: str) -> Column:
         value = F.col(name).try_cast("double")
         return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
 
-    rows = df.withColumns({c: clean(c) for c in columns})
-    gaps = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    holed = [c for c in columns if gaps[c]]
-    if not holed:
-        return rows
+    return df.withColumns({c: clean(c) for c in columns})
+
+
+def _filled(rows: DataFrame, holed: Sequence[str]) -> DataFrame:
+    """Nulls of the given columns replaced by the column's median, else 0."""
     stacked = rows.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("held")) for c in holed
     ])))
@@ -113,6 +113,29 @@ def filled_inputs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.withColumns({c: F.coalesce(c, F.lit(medians.get(c, 0.0))) for c in holed})
 
 
+def filled_inputs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Infinite and missing values replaced by the column's median in this frame, else 0."""
+    rows = _cleaned(df, columns)
+    gaps = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    holed = [c for c in columns if gaps[c]]
+    return _filled(rows, holed) if holed else rows
+
+
+def prepared_inputs(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, int, dict[str, tuple[float, float]]]:
+    """Filled rows, their number, and mean and deviation per column: one pass when nothing is missing."""
+    rows = _cleaned(df, columns)
+    parts = [
+        e for c in columns
+        for e in (F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))
+    ]
+    stats = rows.agg(F.count(F.lit(1)).alias("total"), *parts).first()
+    holed = [c for c in columns if stats[f"n_{c}"] < stats["total"]]
+    if holed:
+        rows = _filled(rows, holed)
+        return rows, stats["total"], scale_parameters(rows, columns)
+    return rows, stats["total"], {c: (stats[f"m_{c}"] or 0.0, stats[f"s_{c}"] or 1.0) for c in columns}
+
+
 def average_path(n: float) -> float:
     """Expected path length of an unsuccessful search among n points."""
     if n <= 1:
@@ -122,8 +145,9 @@ def average_path(n: float) -> float:
     return 2.0 * (np.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
 
-def tree_samples(df: DataFrame, config: IsolationConfig, seed: int = SEED) -> DataFrame:
-    """(tree, rows of df): at most ``config.samples`` rows per tree, the same for the same ids and seed.
+def tree_samples(df: DataFrame, total: int, config: IsolationConfig, seed: int = SEED) -> DataFrame:
+    """(tree, rows of df): at most ``config.samples`` of the ``total`` rows per tree, the same for the
+    same ids and seed.
 
     With plenty of rows a hashed pool of twice the needed size is dealt out to the trees; with few,
     each row is dealt to several trees. Either way some two rows per wanted one are dealt, so the
@@ -131,7 +155,6 @@ def tree_samples(df: DataFrame, config: IsolationConfig, seed: int = SEED) -> Da
     Spark already does on the map side.
     """
     trees, samples = config.n_estimators, config.samples
-    total = df.count()
     wanted = 2 * trees * samples
 
     def hashed(*parts) -> Column:
@@ -186,8 +209,7 @@ def _grow(values: np.ndarray, rng: np.random.Generator, usable: np.ndarray, dept
 def fit_isolation(normal: DataFrame, columns: Sequence[str], config: IsolationConfig = IsolationConfig(), seed: int = SEED) -> IsolationModel:
     """Fit on normal rows: log_id and the feature columns of the configuration's set."""
     names = feature_sets(columns)[config.feature_set]
-    rows = filled_inputs(normal.select("log_id", *names), names)
-    scale = scale_parameters(rows, names)
+    rows, total, scale = prepared_inputs(normal.select("log_id", *names), names)
     scaled = rows.select("log_id", *[((F.col(c) - scale[c][0]) / scale[c][1]).alias(c) for c in names])
     depth_limit = int(np.ceil(np.log2(max(config.samples, 2))))
     kept = max(1, int(config.max_features * len(names)))
@@ -206,9 +228,9 @@ def fit_isolation(normal: DataFrame, columns: Sequence[str], config: IsolationCo
         frame.insert(0, "tree", tree)
         return frame
 
-    samples = tree_samples(scaled, config, seed)
+    samples = tree_samples(scaled, total, config, seed)
     nodes = samples.groupBy("tree").applyInPandas(build, _NODE_SCHEMA).toPandas()
-    used = min(config.samples, normal.count())
+    used = min(config.samples, total)
     return IsolationModel(list(names), scale, used, config, nodes.sort_values(["tree", "node"], ignore_index=True))
 
 
