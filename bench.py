@@ -10,7 +10,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -24,7 +23,7 @@ from tidewatch.operators import scoring as S
 from tidewatch.plans import queries as Q
 from tidewatch.plans import slo as L
 from tidewatch.schemas import FEATURES
-from tidewatch.session import prepare
+from tidewatch.session import prepare, shared_folder
 from tidewatch.sources import lines as N
 from tidewatch.sources import tables as T
 from tidewatch.sources.adapter import access_logs
@@ -46,7 +45,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    work = tempfile.mkdtemp(prefix="tidewatch-bench-")
+    work = shared_folder(spark, "bench")
 
     source = access_logs(spark, folder)
     line = F.concat(

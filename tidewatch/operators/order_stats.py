@@ -109,11 +109,6 @@ def quantiles(
     return found.select(*by, F.inline(rows))
 
 
-def quantile_scalar(df: DataFrame, value: str, prob: float, weight: str | None = None, cell=magnitude_cell) -> Column:
-    """One quantile as a scalar subquery (null for no rows)."""
-    return quantiles(df, value, [prob], weight=weight, cell=cell).agg(F.max("quantile")).scalar()
-
-
 def rank_cuts(
     df: DataFrame,
     major: Column,
