@@ -22,13 +22,31 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _root(spark: SparkSession) -> str:
+    """The context's checkpoint folder, else spark.checkpoint.dir; a temporary one only where driver and tasks are one process."""
+    context = spark.sparkContext
+    root = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if not context.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's checkpoint folder (a temporary one when none is set)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidewatch-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/tidewatch/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the cluster's checkpoint folder; all of them go when the application ends."""
+    context = spark.sparkContext
+    top = f"{_root(spark)}/tidewatch-{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(top)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
+    return f"{top}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder given by shared_folder once nothing reads it any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
