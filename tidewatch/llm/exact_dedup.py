@@ -21,6 +21,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.llm.common import lowered, raw_texts
 from tidewatch.session import written
@@ -108,7 +109,7 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES, key_bits: int
     )
 
 
-@F.udf("string", useArrow=True)
+@F.udf(T.StringType(), useArrow=True)
 def _digest(text):
     return hashlib.sha256((text or "").encode().lower()).hexdigest()
 
