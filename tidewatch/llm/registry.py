@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import exact_dedup, mixing, quality, simhash
+from tidewatch.llm import bpe, exact_dedup, mixing, quality, simhash
 
-_MODULES = (quality, mixing, exact_dedup, simhash)
+_MODULES = (bpe, quality, mixing, exact_dedup, simhash)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
