@@ -88,7 +88,8 @@ def _chunked(rows: DataFrame, count: Column, *keep: str) -> DataFrame:
     """Number 0 .. count-1 for each row, spread over tasks in chunks: (keep..., n)."""
     rows = rows.withColumn("count", count).where("count > 0")
     rows = rows.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.lit(_CHUNK).cast("long"))))
-    rows = rows.repartition(*[c for c in keep if c != "keys"], "from")
+    # A number of partitions that adaptive execution keeps: a few rows become very many.
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keep, "from")
     return rows.select(*keep, F.explode(F.sequence(F.col("from"), F.least(F.col("from") + _CHUNK, "count") - 1)).alias("n"))
 
 
@@ -125,7 +126,8 @@ def slots(sources: DataFrame, block_words: int, shard_words: int) -> DataFrame:
 def mixture(sizes: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """The sources with their targets, and the mix (shard, sid, slot, rid, first, words) over rows from `sized`."""
     sources = written(targets(sizes), "targets")
-    taken = slots(sources, block_words, shard_words).join(blocks_of(sizes, sources, block_words), ["sid", "block"])
+    # The planner takes the slots for few rows, as they come from few sources; the hint keeps them from being broadcast.
+    taken = slots(sources, block_words, shard_words).hint("merge").join(blocks_of(sizes, sources, block_words), ["sid", "block"])
     return sources, taken.select("shard", "sid", "slot", "rid", "first", "words")
 
 
