@@ -38,11 +38,9 @@ TEMPLATES = [
     ("apache", "licensed under the apache license version 2 0"),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"),
-    ("lgpl", "licensed under the gnu lesser general public license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
 ]
