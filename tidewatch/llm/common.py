@@ -14,9 +14,13 @@ from tidewatch.session import prepare, written
 BATCH_ROWS = 400
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def ready(spark: SparkSession) -> SparkSession:
     prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return ready(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def raw_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
