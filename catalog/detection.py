@@ -63,8 +63,12 @@ ALERTS_CTE = (
     + ",\nalert_rows AS ("
     + "\nUNION ALL\n".join(f"({sql})" for sql in RULE_SQL.values())
     + """),
-alerts AS (SELECT md5(concat_ws('|', alert_type, coalesce(ip, ''), coalesce(key_endpoint, ''), coalesce(key_method, ''),
-  coalesce(key_user_agent, ''), CAST(epoch_us(timestamp) AS VARCHAR))) AS alert_id, * FROM alert_rows),
+alerts AS (SELECT md5(concat_ws(',', """
+    + ", ".join(
+        f"coalesce(length({part}) || ':' || {part}, '-')"
+        for part in ("alert_type", "ip", "key_endpoint", "key_method", "key_user_agent", "CAST(epoch_us(timestamp) AS VARCHAR)", "'7 days'")
+    )
+    + """, '-')) AS alert_id, * FROM alert_rows),
 tagged AS ("""
     + "\nUNION ALL\n".join(
         f"SELECT '{name}' AS alert_type, ip, "
@@ -80,6 +84,8 @@ members AS (SELECT a.alert_id, a.alert_type, a.severity, t.log_id, t.timestamp,
   AND t.key_method IS NOT DISTINCT FROM a.key_method AND t.key_user_agent IS NOT DISTINCT FROM a.key_user_agent)"""
 )
 
+_MONTH_CTE = ALERTS_CTE.replace("INTERVAL 7 DAY", "INTERVAL 30 DAY").replace("'7 days'", "'30 days'")
+
 _ALERT_COLUMNS = f"""alert_id, alert_type, ip, key_endpoint, key_method, key_user_agent, severity, source, confidence, description,
  {sql_time('timestamp')}, related_logs, unique_endpoints, {sql_time('first_seen')},
  round(average_response_ms, 6) AS average_response_ms, array_to_string(hours_active, ',') AS hours_active"""
@@ -140,6 +146,14 @@ def _metadata(spark, folder):
         get("total_requests").alias("total_requests"),
         get("requests").alias("requests"),
         get("hours_active").alias("hours_active"),
+        get("endpoints_targeted").alias("endpoints_targeted"),
+        get("time_window").alias("time_window"),
+        get("endpoint").alias("endpoint"),
+        get("method").alias("method"),
+        get("unique_endpoints").alias("unique_endpoints"),
+        F.round(get("average_response_ms").cast("double"), 6).alias("average_response_ms"),
+        F.date_format(get("first_attempt").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS").alias("first_attempt"),
+        F.date_format(get("last_attempt").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSS").alias("last_attempt"),
     )
 
 
@@ -150,8 +164,8 @@ def _alert_logs(spark, folder):
 def _log_lists(spark, folder):
     rows = logs(spark, folder)
     found = R.run_rules(rows, WINDOW)
-    listed = R.with_log_ids(found, R.alert_logs(rows, found, WINDOW))
-    return shown(listed.select("alert_id", "related_logs", "log_ids"))
+    chunks = R.log_id_chunks(R.alert_logs(rows, found, WINDOW), 5)
+    return shown(found.select("alert_id", "related_logs").join(chunks, "alert_id", "left"))
 
 
 def _alert_endpoints(spark, folder):
@@ -189,10 +203,10 @@ ORACLE = {
 } | {
     "rule_time_anomaly": with_ctes(
         f"SELECT {_ALERT_COLUMNS} FROM alerts WHERE alert_type = 'time_anomaly'",
-        ALERTS_CTE.replace("INTERVAL 7 DAY", "INTERVAL 30 DAY")),
+        _MONTH_CTE),
     "rule_set_alerts": with_ctes(f"SELECT {_ALERT_COLUMNS} FROM alerts", ALERTS_CTE),
     "rule_set_report": with_ctes(_counts_by_rule(", ('broken_rule')"), ALERTS_CTE),
-    "rule_historical_30_days": with_ctes(_counts_by_rule(), ALERTS_CTE.replace("INTERVAL 7 DAY", "INTERVAL 30 DAY")),
+    "rule_historical_30_days": with_ctes(_counts_by_rule(), _MONTH_CTE),
     "rule_alert_metadata": with_ctes(
         """SELECT alert_id, alert_type,
  CASE WHEN alert_type = 'brute_force' THEN CAST(related_logs AS VARCHAR) END AS failed_attempts,
@@ -203,13 +217,22 @@ ORACLE = {
  key_user_agent AS user_agent,
  CASE WHEN alert_type = 'port_scanning' THEN CAST(related_logs AS VARCHAR) END AS total_requests,
  CASE WHEN alert_type IN ('suspicious_user_agent', 'time_anomaly') THEN CAST(related_logs AS VARCHAR) END AS requests,
- CASE WHEN alert_type = 'time_anomaly' THEN '[' || array_to_string(hours_active, ',') || ']' END AS hours_active
+ CASE WHEN alert_type = 'time_anomaly' THEN '[' || array_to_string(hours_active, ',') || ']' END AS hours_active,
+ CASE WHEN alert_type = 'brute_force' THEN '["/login"]' END AS endpoints_targeted,
+ CASE WHEN alert_type IN ('brute_force', 'port_scanning', 'time_anomaly') THEN '7 days' END AS time_window,
+ CASE WHEN alert_type IN ('sql_injection', 'path_traversal') THEN key_endpoint END AS endpoint,
+ CASE WHEN alert_type IN ('sql_injection', 'path_traversal') THEN key_method END AS method,
+ CASE WHEN alert_type IN ('port_scanning', 'time_anomaly') THEN CAST(unique_endpoints AS VARCHAR) END AS unique_endpoints,
+ CASE WHEN alert_type = 'port_scanning' THEN round(average_response_ms, 6) END AS average_response_ms,
+ CASE WHEN alert_type = 'brute_force' THEN left(strftime(first_seen, '%Y-%m-%d %H:%M:%S.%f'), 23) END AS first_attempt,
+ CASE WHEN alert_type = 'brute_force' THEN left(strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f'), 23) END AS last_attempt
 FROM alerts""", ALERTS_CTE),
     "rule_alert_logs": with_ctes("SELECT alert_id, alert_type, severity, log_id FROM members", ALERTS_CTE),
     "rule_alert_log_ids": with_ctes(
-        """SELECT a.alert_id, a.related_logs, m.log_ids FROM alerts a LEFT JOIN
- (SELECT alert_id, string_agg(CAST(log_id AS VARCHAR), ',' ORDER BY timestamp, log_id) AS log_ids FROM members GROUP BY alert_id) m
- ON a.alert_id = m.alert_id""", ALERTS_CTE),
+        """SELECT a.alert_id, a.related_logs, m.chunk, m.log_ids FROM alerts a LEFT JOIN
+ (SELECT alert_id, chunk, string_agg(CAST(log_id AS VARCHAR), ',' ORDER BY timestamp, log_id) AS log_ids FROM
+  (SELECT *, CAST((row_number() OVER (PARTITION BY alert_id ORDER BY timestamp, log_id) - 1) // 5 AS BIGINT) AS chunk FROM members)
+  GROUP BY alert_id, chunk) m ON a.alert_id = m.alert_id""", ALERTS_CTE),
     "rule_alert_endpoints": with_ctes(
         "SELECT alert_id, endpoint, count(*) AS requests FROM members WHERE endpoint IS NOT NULL GROUP BY alert_id, endpoint",
         ALERTS_CTE),

@@ -144,6 +144,16 @@ def _append(spark, folder):
         F.count(F.lit(1)).alias("logs"), F.count("method").alias("with_method"))
 
 
+def _two_appends(spark, folder):
+    """The same lines appended twice: ids never repeat."""
+    path = shared_folder(spark, "raw-logs")
+    parsed = L.parse_lines(combined_lines(spark, folder), "apache_combined")
+    for _ in range(2):
+        T.append_logs(L.normalised(parsed), path)
+    return spark.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("logs"), F.count_distinct("id").alias("ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
 def _report(spark, folder):
     return shown(L.ingestion_report(L.parse_lines(combined_lines(spark, folder), "apache_combined")))
 
@@ -196,6 +206,7 @@ QUERIES = {
     "ingest_auto_format": _auto,
     "ingest_normalise": _normalise,
     "ingest_append_sink": _append,
+    "ingest_ids_two_appends": _two_appends,
     "ingest_report": _report,
     "ingest_failed_lines": _quarantine,
     "check_log_constraints": _constraints,
@@ -234,6 +245,8 @@ FROM apache WHERE id % 2 = 1""", COMBINED_CTE),
     "ingest_append_sink": with_ctes(
         """SELECT strftime(timestamp, '%Y-%m-%d') AS date, 'apache_access' AS log_type, count(*) AS logs, count(method) AS with_method
 FROM apache WHERE parsed GROUP BY 1""", COMBINED_CTE),
+    "ingest_ids_two_appends": with_ctes(
+        "SELECT 2 * count(*) AS logs, 2 * count(*) AS ids, CAST(1 AS BIGINT) AS first_id, 2 * count(*) AS last_id FROM apache WHERE parsed", COMBINED_CTE),
     "ingest_report": with_ctes(
         """SELECT count(*) AS total, count(*) FILTER (parsed) AS ingested, count(*) FILTER (NOT parsed) AS failed,
  round(count(*) FILTER (parsed) / count(*), 6) AS ingested_share FROM apache""", COMBINED_CTE),

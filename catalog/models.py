@@ -17,11 +17,8 @@ from tidewatch.schemas import FEATURES
 from tidewatch.session import shared_folder, written
 
 ISOLATION = I.IsolationConfig(n_estimators=100)
-FOREST = {"name": "10/balanced", "trees": 10, "balanced": True, "thresholds": [0.3, 0.4, 0.5, 0.6]}
-COLUMNS = [
-    "status_code", "response_time_ms", "requests_per_ip_5min", "hour_of_day", "day_of_week", "endpoint_length",
-    "endpoint_entropy", "time_since_last_request", "requests_per_minute", "endpoint_rarity",
-]
+FOREST = {"name": "10/balanced", "trees": 10, "balanced": True, "depth": 10, "thresholds": [0.3, 0.4, 0.5, 0.6]}
+COLUMNS = FEATURES
 
 
 _STORED: dict[tuple[str, str], object] = {}
@@ -51,12 +48,12 @@ def _nodes(spark, folder):
 
 def _forest(spark, folder):
     parts = D.holdout_split(dataset(spark, folder))
-    model = K.fit_forest(parts.filter("split = 'train'"), COLUMNS, FOREST["trees"])
+    model = K.fit_forest(parts.filter("split = 'train'"), COLUMNS, FOREST["trees"], depth=FOREST["depth"])
     return shown(K.forest_scores(parts.filter("split <> 'train'"), model, COLUMNS).select("log_id", "split", "label", "score"))
 
 
 def _elimination(spark, folder):
-    ranks = K.eliminate_features(dataset(spark, folder), COLUMNS, keep=7, trees=10, depth=5)
+    ranks = K.eliminate_features(dataset(spark, folder), COLUMNS, keep=len(COLUMNS) - 3, trees=10, depth=5)
     return spark.createDataFrame(ranks, "feature string, rank int")
 
 
@@ -64,7 +61,7 @@ def _experiment(spark, folder):
     """Search, holdout and storing with one small configuration per model."""
     store = shared_folder(spark, "models")
     small = I.IsolationConfig(feature_set="endpoint_temporal", n_estimators=50)
-    found = T.run_experiment(dataset(spark, folder), COLUMNS + ["is_night", "has_query_params"], [small], [FOREST], store)
+    found = T.run_experiment(dataset(spark, folder), COLUMNS, [small], [FOREST], store)
     return shown(found.metrics)
 
 
@@ -80,7 +77,7 @@ def _stored(spark, folder):
     data = dataset(spark, folder)
     path = shared_folder(spark, "isolation")
     I.save_isolation(I.fit_isolation(data.filter("label = 0"), FEATURES, ISOLATION), spark, path)
-    decided = I.isolation_decision(data, I.load_isolation(spark, path))
+    decided = I.isolation_decision(data, I.load_isolation(spark, path), missing="zero")
     return shown(S.score_summary(S.hybrid_scores(decided, attack_members(rows))))
 
 

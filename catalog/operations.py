@@ -177,7 +177,7 @@ ORACLE = {
         f"SELECT severity, count(*) AS alerts FROM alerts WHERE timestamp > {_NOW} - INTERVAL 24 HOUR GROUP BY severity", ALERTS_CTE),
     "ops_anomaly_trend": with_ctes(
         """SELECT strftime(date_trunc('hour', created_at), '%Y-%m-%d %H:%M:%S.%f') AS bucket, count(*) AS rows FROM scored WHERE is_anomaly
- AND created_at > (SELECT max(created_at) FROM scored WHERE is_anomaly) - INTERVAL 24 HOUR GROUP BY 1""", _SCORED_CTE),
+ AND created_at > (SELECT max(created_at) FROM scored) - INTERVAL 24 HOUR GROUP BY 1""", _SCORED_CTE),
     "ops_alert_trend": with_ctes(
         f"""SELECT strftime(date_trunc('hour', timestamp), '%Y-%m-%d %H:%M:%S.%f') AS bucket, count(*) AS rows FROM alerts
 WHERE timestamp > {_NOW} - INTERVAL 72 HOUR GROUP BY 1""", ALERTS_CTE),

@@ -162,11 +162,11 @@ def _evaluate(spark, folder):
 
 
 def _auc(spark, folder):
-    """Labels of documents against a coarse score with many ties: the decile of the text length."""
+    """Labels of documents against a coarse score with many ties: the text length in hundreds."""
     rows = spark.read.parquet(f"{folder}/labels.parquet").join(
         spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "n_chars"), "doc_id")
     scored = rows.select(
-        F.col("quality").cast("int").alias("label"), (F.least(F.col("n_chars") / 100, F.lit(100)).cast("int") / 100).alias("score"))
+        F.col("quality").cast("int").alias("label"), (F.floor(F.col("n_chars") / 100) / 100).alias("score"))
     return shown(V.roc_auc(scored))
 
 
@@ -208,7 +208,7 @@ def _ensemble_choice(spark, folder):
 
 
 def _budget(spark, folder):
-    return shown(V.review_budget(_scores(spark, folder)))
+    return shown(V.review_budget(_scores(spark, folder), (0.001, 0.005, *V.REVIEW_BUDGETS)))
 
 
 def _only(spark, folder):
@@ -377,7 +377,7 @@ SELECT split, round(tp / pred, 6) AS precision, round(tp / p, 6) AS recall, roun
  round((rs - p * (p + 1) / 2.0) / (p * (n - p)), 6) AS roc_auc, round((n - p - pred + 2 * tp) / n, 6) AS accuracy,
  CAST(p AS BIGINT) AS positives, CAST(pred AS BIGINT) AS predicted_positives, CAST(n - p - pred + tp AS BIGINT) AS tn,
  CAST(pred - tp AS BIGINT) AS fp, CAST(p - tp AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp FROM g""", MODEL_CTE),
-    "eval_roc_auc_ties": """WITH s AS (SELECT quality AS label, CAST(floor(least(n_chars / 100, 100)) AS INT) AS score FROM labels JOIN documents USING (doc_id)),
+    "eval_roc_auc_ties": """WITH s AS (SELECT quality AS label, CAST(floor(n_chars / 100) AS BIGINT) AS score FROM labels JOIN documents USING (doc_id)),
 r AS (SELECT *, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM s)
 SELECT round((sum(r) FILTER (label = 1) - sum(label) * (sum(label) + 1) / 2.0) / (sum(label) * (count(*) - sum(label))), 6) AS roc_auc FROM r""",
     "eval_fold_results": with_ctes(
@@ -388,7 +388,7 @@ SELECT round((sum(r) FILTER (label = 1) - sum(label) * (sum(label) + 1) / 2.0) /
     "eval_review_budget": with_ctes(
         """, ordered AS (SELECT *, row_number() OVER (ORDER BY isolation DESC, log_id) AS r, count(*) OVER () AS n FROM model),
 b AS (SELECT name, budget, greatest(1, CAST(floor(n * budget) AS BIGINT)) AS top_k FROM (SELECT DISTINCT n FROM ordered),
- (VALUES ('top_1pct', 0.01::DOUBLE), ('top_2pct', 0.02::DOUBLE), ('top_5pct', 0.05::DOUBLE), ('top_10pct', 0.1::DOUBLE)) v(name, budget))
+ (VALUES ('top_0.1pct', 0.001::DOUBLE), ('top_0.5pct', 0.005::DOUBLE), ('top_1pct', 0.01::DOUBLE), ('top_2pct', 0.02::DOUBLE), ('top_5pct', 0.05::DOUBLE), ('top_10pct', 0.1::DOUBLE)) v(name, budget))
 SELECT name, budget, top_k, CAST(sum(label) FILTER (r <= top_k) AS BIGINT) AS hits, round(sum(label) FILTER (r <= top_k) / top_k, 6) AS precision_at_k,
  round(sum(label) FILTER (r <= top_k) / sum(label), 6) AS recall_at_k FROM ordered, b GROUP BY name, budget, top_k""", MODEL_CTE),
     "eval_isolation_only": with_ctes(

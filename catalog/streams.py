@@ -33,6 +33,22 @@ def _ingest(spark, folder):
         F.count(F.lit(1)).alias("logs"), F.count_distinct("id").alias("ids"), F.count("method").alias("with_method"))
 
 
+def _failed(spark, folder):
+    """Lines that a stream could not parse, kept in full."""
+    source, table = shared_folder(spark, "lines"), shared_folder(spark, "raw-logs")
+    combined_lines(spark, folder).select("value").repartition(4).write.text(source)
+    J.ingest(J.stream_lines(spark, source, 1), table, shared_folder(spark, "cp"), "apache_combined").awaitTermination()
+    return spark.read.parquet(f"{table}_failed").groupBy(F.col("_line").alias("line")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def _alert_ids(spark, folder):
+    """Overlapping windows: no two alerts share an id."""
+    table = shared_folder(spark, "alerts")
+    found = J.windowed_alerts(log_stream(spark, folder), "2 days", "1 day", "2 hours")
+    J.store_alerts(found, table, shared_folder(spark, "cp")).awaitTermination()
+    return spark.read.parquet(table).agg(F.count(F.lit(1)).alias("alerts"), F.count_distinct("alert_id").alias("ids"))
+
+
 def _windowed(window, slide):
     def run(spark, folder):
         table = shared_folder(spark, "alerts")
@@ -85,6 +101,8 @@ QUERIES = {
     "stream_ingest_lines": _ingest,
     "stream_alerts_tumbling": _windowed("1 day", None),
     "stream_alerts_sliding": _windowed("2 days", "1 day"),
+    "stream_sliding_alert_ids": _alert_ids,
+    "stream_failed_lines": _failed,
     "stream_alert_logs": _window_logs,
     "stream_deduplicate": _dedup,
     "stream_scores": _score,
@@ -113,6 +131,8 @@ ORACLE = {
 FROM apache WHERE parsed GROUP BY 1""", COMBINED_CTE),
     "stream_alerts_tumbling": _windowed_sql(1, 1),
     "stream_alerts_sliding": _windowed_sql(2, 1),
+    "stream_sliding_alert_ids": "SELECT count(*) AS alerts, count(*) AS ids FROM (" + _windowed_sql(2, 1) + ")",
+    "stream_failed_lines": with_ctes("SELECT value AS line, count(*) AS lines FROM apache WHERE NOT parsed GROUP BY value", COMBINED_CTE),
     "stream_alert_logs": with_ctes(
         """SELECT alert_type, log_id FROM (SELECT 'brute_force' AS alert_type, id AS log_id, timestamp, count(*) OVER (PARTITION BY ip, date_trunc('day', timestamp)) AS n, 5 AS m
  FROM logs WHERE endpoint = '/login' AND status IN (401, 429) UNION ALL

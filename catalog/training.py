@@ -111,15 +111,13 @@ def _correlations(spark, folder):
 
 
 def _drop(spark, folder):
-    frame = E.extract_features(logs(spark, folder))
-    pairs = D.correlations(frame, FEATURES)
-    return pairs.filter(F.abs("r") > 0.9).select(F.col("right").alias("dropped")).distinct()
+    _, kept = D.drop_correlated(E.extract_features(logs(spark, folder)), FEATURES)
+    return spark.createDataFrame([(c,) for c in FEATURES if c not in kept], "dropped string")
 
 
 def _standardised(spark, folder):
     frame = E.extract_features(logs(spark, folder))
-    names = ["status_code", "response_time_log", "endpoint_entropy", "time_since_last_request"]
-    return shown(D.standardise(frame, D.scale_parameters(frame, names)).select("log_id", *names), 5)
+    return shown(D.standardise(frame, D.scale_parameters(frame, FEATURES)).select("log_id", *FEATURES), 5)
 
 
 def _quality(spark, folder):
@@ -159,7 +157,7 @@ def _sink(spark, folder):
         F.count(F.lit(1)).alias("logs"), F.sum(F.col("label").cast("int")).alias("anomalies"))
 
 
-_DESCRIBED = ["status_code", "response_time_ms", "endpoint_length", "hour_of_day", "requests_per_minute"]
+_DESCRIBED = FEATURES
 
 QUERIES = {
     "data_labels": _label,
@@ -217,8 +215,7 @@ UNION ALL SELECT log_id, {sql_time('timestamp')}, 1 - label, 'right' FROM datase
     "data_drop_correlated": with_ctes(f'SELECT DISTINCT "right" AS dropped FROM ({_PAIRS}) WHERE abs(r) > 0.9', _F_CTE),
     "data_standardised": with_ctes(
         "SELECT log_id, " + ", ".join(
-            f"round(({n} - avg({n}) OVER ()) / stddev_pop({n}) OVER (), 5) AS {n}"
-            for n in ["status_code", "response_time_log", "endpoint_entropy", "time_since_last_request"]) + " FROM features",
+            f"round(({n} - avg({n}) OVER ()) / coalesce(nullif(stddev_pop({n}) OVER (), 0), 1), 5) AS {n}" for n in FEATURES) + " FROM features",
         FEATURES_CTE),
     "data_quality": with_ctes(
         """SELECT u.* FROM (SELECT count(*) FILTER (log_id % 10 = 0) AS a, count(*) FILTER (log_id % 9 = 0) AS b FROM features) c,
@@ -231,7 +228,7 @@ UNION ALL SELECT log_id, {sql_time('timestamp')}, 1 - label, 'right' FROM datase
  round(avg(label), 6) AS anomaly_rate, strftime(min(timestamp), '%Y-%m-%d %H:%M:%S.%f') AS period_start,
  strftime(max(timestamp), '%Y-%m-%d %H:%M:%S.%f') AS period_end FROM dataset""", DATASET_CTE),
     "data_describe": with_ctes(" UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count({c}) AS rows, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std, round(min({c}), 4) AS min,
+        f"""SELECT '{c}' AS "column", count({c}) AS rows, round(avg({c}), 4) + 0 AS mean, round(stddev_samp({c}), 4) AS std, round(min({c}), 4) AS min,
  round(max({c}), 4) AS max, round(quantile_cont({c}, 0.25), 4) AS q25, round(median({c}), 4) AS median, round(quantile_cont({c}, 0.75), 4) AS q75 FROM f"""
         for c in _DESCRIBED), _F_CTE),
     "data_label_correlations": with_ctes(

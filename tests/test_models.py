@@ -53,8 +53,8 @@ def test_same_seed_same_trees(data, options):
     assert one.nodes.groupby("tree").size().max() <= 2 * 64 - 1
 
 
-def test_sampling_regimes(spark):
-    """Few rows, some rows, many rows: every tree gets its full sample, and no row twice."""
+def test_sampling(spark):
+    """One rule for few and many rows: every tree gets its full sample, and no row twice."""
     for n, trees, samples in ((50, 20, 32), (900, 20, 64), (30000, 10, 32)):
         config = I.IsolationConfig(n_estimators=trees, max_samples=samples)
         drawn = I.tree_samples(spark.range(n).withColumnRenamed("id", "log_id"), n, config)

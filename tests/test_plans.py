@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 from pathlib import Path
 
 import pytest
@@ -86,10 +87,42 @@ def test_dataset_files(spark, tmp_path):
 def test_registry_is_consistent():
     queries, checks = registry.queries(), registry.oracle_sql()
     assert set(checks) <= set(queries)
-    assert {n for n in queries if n not in checks} == {n for n in queries if n.startswith("model_")}
+    own = {name for area in registry._AREAS for name in importlib.import_module(f"catalog.{area}").QUERIES}
+    assert {n for n in own if n not in checks} == {n for n in queries if n.startswith("model_")}
 
 
 @pytest.mark.skipif(not TESTDATA.exists(), reason="needs the generated tables")
 def test_entry(spark):
     found = registry.entry(spark)
     assert found.count() > 0 and "alert_type" in found.columns
+
+
+def test_day_folders_are_pruned(spark, tmp_path):
+    """With and without a given present moment, older days are not read."""
+    from tidewatch.functions.columns import recent
+    from tidewatch.operators import rules as R
+    from tidewatch.plans import queries as Q
+    from tidewatch.sources import tables as T
+
+    path = str(tmp_path / "raw")
+    rows = spark.range(40).select(
+        (F.lit("2024-01-01").cast("timestamp") + F.expr("make_interval(0,0,0,cast(id as int))")).alias("timestamp"), F.lit("web").alias("log_type"),
+        F.lit("1.1.1.1").alias("ip"), F.lit("GET").alias("method"), F.lit("/x").alias("endpoint"), F.lit(200).alias("status"),
+        F.lit(1.0).alias("response_time_ms"), F.lit("curl").alias("user_agent"), F.lit("{}").alias("data"))
+    T.append_logs(rows, path)
+    logs = spark.read.parquet(path)
+    now = F.lit("2024-02-09 12:00:00").cast("timestamp")
+    for frame in (R.run_rules(logs, "7 days", as_of=now), Q.search_logs(logs, 24, as_of=now), Q.recent_load(logs, now), recent(logs, "3 days")):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        # Finding the newest day reads partition values only: no column of any file.
+        scans = [x for x in plan.split("FileScan")[1:] if "ReadSchema: struct<>" not in x.split("\n")[0]]
+        assert scans and all("date" in x.split("PartitionFilters: ")[1].split("PushedFilters")[0] for x in scans), plan
+    assert recent(logs, "3 days").count() == 3 and Q.search_logs(logs, 48).count() == 2
+
+
+def test_clip_keeps_null(spark):
+    from tidewatch.functions.columns import clip
+    from tidewatch.operators.scoring import ml_score
+
+    row = spark.range(1).select(clip(F.lit(None).cast("double"), -10, 10).alias("z"), ml_score(F.lit(None).cast("double")).alias("s"), clip(F.lit(99.0), -10, 10).alias("c")).first()
+    assert row.z is None and row.s is None and row.c == 10.0

@@ -95,14 +95,33 @@ def test_agent_from_json_record(spark):
     assert R.run_rules(logs, "1 day", [R.rule("suspicious_user_agent")]).count() == 3
 
 
-def test_log_ids_in_time_order_and_limit(spark):
+def test_log_ids_in_time_order_and_chunks(spark):
     logs = frame(spark, attack_rows()).withColumn("id", F.col("id") * -1)
     found = R.run_rules(logs, "1 day")
     members = R.alert_logs(logs, found, "1 day")
     assert members.count() == found.agg(F.sum("related_logs")).first()[0]
-    lists = {a["alert_type"]: a["log_ids"] for a in R.with_log_ids(found, members, 20).collect()}
-    assert lists["brute_force"] == [0, -1, -2, -3, -4, -5]
-    assert lists["port_scanning"] is None  # 21 logs: read from the rows
+    kinds = {a["alert_id"]: a["alert_type"] for a in found.collect()}
+    by_alert = {}
+    for row in R.log_id_chunks(members, 4).orderBy("alert_id", "chunk").collect():
+        assert row["chunk"] == len(by_alert.setdefault(row["alert_id"], []))
+        by_alert[row["alert_id"]].append(row["log_ids"])
+    lists = {kinds[alert]: chunks for alert, chunks in by_alert.items()}
+    assert lists["brute_force"] == [[0, -1, -2, -3], [-4, -5]]
+    assert [len(x) for x in lists["port_scanning"]] == [4, 4, 4, 4, 4, 1]  # 21 logs, all of them
+
+
+def test_large_alert_keeps_all_ids(spark):
+    members = spark.range(20000).select(F.lit("a").alias("alert_id"), F.lit(START).cast("timestamp").alias("timestamp"), F.col("id").alias("log_id"))
+    chunks = R.log_id_chunks(members).orderBy("chunk").collect()
+    assert [c["chunk"] for c in chunks] == [0, 1] and [i for c in chunks for i in c["log_ids"]] == list(range(20000))
+
+
+def test_alert_ids_tell_windows_and_nulls_apart(spark):
+    rows = frame(spark, attack_rows())
+    week, day = (R.run_rules(rows, w, [R.rule("brute_force")]).first()["alert_id"] for w in ("7 days", "1 day"))
+    nameless = R.run_rules(rows.withColumn("ip", F.lit(None).cast("string")), "1 day", [R.rule("brute_force")]).first()["alert_id"]
+    empty = R.run_rules(rows.withColumn("ip", F.lit("")), "1 day", [R.rule("brute_force")]).first()["alert_id"]
+    assert len({week, day, nameless, empty}) == 4
 
 
 def test_hot_address_keeps_every_log(spark):

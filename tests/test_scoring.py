@@ -83,10 +83,13 @@ def test_first_score_wins(spark, tmp_path):
     assert sorted(stored) == [1, 2, 9] and stored[1] == 0.75
 
 
-def test_empty_join_takes_all_features(spark):
+def test_nothing_recent(spark):
     features = spark.createDataFrame([(1,), (2,)], "log_id long")
     logs = spark.sql("select 7L id, timestamp'2024-01-01' timestamp")
-    assert S.recent_features(features, logs).count() == 2
+    assert S.recent_features(features, logs).count() == 0
+    old = F.lit("2030-01-01").cast("timestamp")
+    assert S.recent_features(features, logs, as_of=old).count() == 0
+    assert S.recent_features(features, logs, as_of=old, all_if_none=True).count() == 2
     logs = spark.sql("select 2L id, timestamp'2024-01-01' timestamp")
     assert [r[0] for r in S.recent_features(features, logs).collect()] == [2]
 

@@ -90,3 +90,16 @@ def test_metrics_are_rewritten(spark, tmp_path):
         J.publish_metrics(J.status_metrics(stream), table, mark, None).awaitTermination()
         row = spark.read.parquet(table).first()
         assert row["requests"] == n
+
+
+def test_late_batch_numbers_and_failed_lines(spark, tmp_path):
+    """Ids go on from the newest stored batch, whatever its number; lines that fail are kept and counted."""
+    good = '{"timestamp": "2024-01-01T00:00:00", "ip": "1.1.1.1", "method": "GET", "endpoint": "/", "status": 200}'
+    lines = spark.createDataFrame([(good,), ("not-json",), (good,)], "value string").repartition(3)
+    table = str(tmp_path / "raw")
+    for number in (0, 131_072, 131_073, 131_073):  # the last one is repeated after a failure
+        J.store_lines(lines, number, table)
+    ids = sorted(r.id for r in spark.read.parquet(table).collect())
+    assert ids == [1, 2, 3, 4, 5, 6]
+    assert [r._line for r in spark.read.parquet(f"{table}_failed").collect()] == ["not-json"] * 3
+    assert {(r.total, r.ingested, r.failed) for r in spark.read.parquet(f"{table}_report").collect()} == {(3, 2, 1)}

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
-MAX_DEPTH = 10
+#: Spark ML grows no deeper trees; a configuration may name a smaller depth.
+DEPTH = 30
 
-# The configurations tried and the thresholds of each.
+# The configurations tried and the thresholds of each. "depth" may be added to any of them.
 FOREST_CONFIGS = [
     {"name": "300/plain", "trees": 300, "balanced": False, "thresholds": [0.4, 0.45, 0.5, 0.55, 0.6]},
     {"name": "300/balanced", "trees": 300, "balanced": True, "thresholds": [0.2, 0.25, 0.3, 0.35, 0.4]},
@@ -37,7 +38,7 @@ def balanced_weights(df: DataFrame) -> DataFrame:
 
 
 def fit_forest(
-    train: DataFrame, columns: Sequence[str], trees: int = 300, balanced: bool = True, depth: int = MAX_DEPTH, seed: int = SEED
+    train: DataFrame, columns: Sequence[str], trees: int = 300, balanced: bool = True, depth: int = DEPTH, seed: int = SEED
 ) -> RandomForestClassificationModel:
     """``train`` holds label and the feature columns (or already the vector ``features``)."""
     rows = train if "features" in train.columns else assembled(train, columns)
@@ -60,7 +61,7 @@ def forest_scores(df: DataFrame, model: RandomForestClassificationModel, columns
 
 
 def eliminate_features(
-    df: DataFrame, columns: Sequence[str], keep: int = 20, trees: int = 100, depth: int = MAX_DEPTH
+    df: DataFrame, columns: Sequence[str], keep: int = 20, trees: int = 100, depth: int = DEPTH
 ) -> list[tuple[str, int]]:
     """Recursive elimination: drop the least important feature of a balanced forest until ``keep`` remain.
 

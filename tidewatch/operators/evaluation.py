@@ -216,7 +216,7 @@ def review_budget(scores: DataFrame, budgets: Sequence[float] = tuple(REVIEW_BUD
     Ties are taken by ascending log_id. The last row of each budget is looked up, then every row
     only compares itself with it; no global ranking is built.
     """
-    names = {f"top_{int(b * 100)}pct": b for b in budgets}
+    names = {f"top_{b * 100:g}pct": b for b in budgets}
 
     def size(budget: float, total: Column) -> Column:
         return F.greatest(F.lit(1), F.floor(total * F.lit(float(budget)))).cast("bigint")
@@ -234,7 +234,7 @@ def review_budget(scores: DataFrame, budgets: Sequence[float] = tuple(REVIEW_BUD
     ]
     totals = rows.agg(*hits, F.count(F.lit(1)).alias("total"), F.sum("label").alias("anomalies"))
     lines = F.array(*[
-        F.struct(F.lit(n).alias("name"), F.lit(float(b)).alias("budget"), size(b, F.col("total")).alias("top_k"), F.col(n).alias("hits"))
+        F.struct(F.lit(n).alias("name"), F.lit(float(b)).alias("budget"), size(b, F.col("total")).alias("top_k"), F.col(f"`{n}`").alias("hits"))
         for n, b in names.items()
     ])
     return (

@@ -146,36 +146,20 @@ def average_path(n: float) -> float:
 
 
 def tree_samples(df: DataFrame, total: int, config: IsolationConfig, seed: int = SEED) -> DataFrame:
-    """(tree, rows of df): at most ``config.samples`` of the ``total`` rows per tree, the same for the
-    same ids and seed.
+    """(tree, rows of df): ``config.samples`` of the ``total`` rows per tree (all, if fewer), the same for the same ids and seed.
 
-    With plenty of rows a hashed pool of twice the needed size is dealt out to the trees; with few,
-    each row is dealt to several trees. Either way some two rows per wanted one are dealt, so the
-    amount of work depends on the model's size only. The lowest hashes of each tree are kept, which
-    Spark already does on the map side.
+    One rule for every size: each tree accepts each row by a hash with the same share, which lets a few
+    more rows through than the tree needs (ten deviations more, so no tree falls short), and keeps
+    the lowest hashes, which Spark already does on the map side.
     """
     trees, samples = config.n_estimators, config.samples
-    wanted = 2 * trees * samples
-
-    def hashed(*parts) -> Column:
-        return F.xxhash64("log_id", *[p if isinstance(p, Column) else F.lit(p) for p in parts])
-
-    copies = -(-wanted // max(total, 1))
-    if copies >= trees / 2:
-        tree = F.sequence(F.lit(0), F.lit(trees - 1))
-        pool = df
-    elif copies > 1:
-        tree = F.array_distinct(F.transform(
-            F.sequence(F.lit(1), F.lit(copies)), lambda r: F.pmod(hashed(seed, r), F.lit(trees)).cast("int")
-        ))
-        pool = df
-    else:
-        share = int(_HASH_RANGE * min(1.0, wanted / total))
-        tree = F.array(F.pmod(hashed(seed, 0), F.lit(trees)).cast("int"))
-        pool = df.filter(F.pmod(hashed(seed, -1), F.lit(_HASH_RANGE)) < share)
+    share = min(1.0, (samples + 10 * np.sqrt(samples) + 50) / max(total, 1))
+    accepted = F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64("log_id", t, F.lit(seed)), F.lit(_HASH_RANGE)) < int(_HASH_RANGE * share)
+    )
     order = W.partitionBy("tree").orderBy("_draw", "log_id")
     return (
-        pool.withColumn("tree", F.explode(tree))
+        df.withColumn("tree", F.explode(accepted))
         .withColumn("_draw", F.xxhash64("log_id", "tree", F.lit(seed + 1)))
         .withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= samples)
@@ -231,6 +215,9 @@ def fit_isolation(normal: DataFrame, columns: Sequence[str], config: IsolationCo
     samples = tree_samples(scaled, total, config, seed)
     nodes = samples.groupBy("tree").applyInPandas(build, _NODE_SCHEMA).toPandas()
     used = min(config.samples, total)
+    grown = nodes["tree"].nunique()
+    if total and grown != config.n_estimators:
+        raise RuntimeError(f"{grown} of {config.n_estimators} trees were grown")
     return IsolationModel(list(names), scale, used, config, nodes.sort_values(["tree", "node"], ignore_index=True))
 
 
@@ -250,9 +237,15 @@ def _flat(model: IsolationModel) -> dict[str, np.ndarray]:
     }
 
 
-def isolation_decision(df: DataFrame, model: IsolationModel) -> DataFrame:
-    """Add ``decision`` = 0.5 - 2 ** (-mean path / expected path); low means anomalous."""
-    rows = filled_inputs(df, model.columns)
+def isolation_decision(df: DataFrame, model: IsolationModel, missing: str = "median") -> DataFrame:
+    """Add ``decision`` = 0.5 - 2 ** (-mean path / expected path); low means anomalous.
+
+    Missing, infinite and not-a-number features count as the column's median in this frame, which costs a
+    pass and suits the judging of models, or as 0 (``missing="zero"``), as production scoring has it.
+    """
+    if missing not in ("median", "zero"):
+        raise ValueError(f"missing features are filled by median or zero, not {missing!r}")
+    rows = filled_inputs(df, model.columns) if missing == "median" else _cleaned(df, model.columns).fillna(0.0, subset=list(model.columns))
     shared = df.sparkSession.sparkContext.broadcast(_flat(model))
     depth = int(np.ceil(np.log2(max(model.config.samples, 2))))
     expected = average_path(model.samples) or 1.0

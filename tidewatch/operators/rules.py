@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import any_ilike, micros, off_hours, recent
+from tidewatch.functions.numbering import numbered
 
 # The text patterns of the rules.
 SQL_PATTERNS = ["%union%select%", "%or%1=1%", "%drop%table%", "%--%"]
@@ -202,11 +203,15 @@ def to_alerts(groups: DataFrame, window: str, rules: Sequence[Rule] = RULES, mor
     """Keep the groups that reach their rule's threshold and word them as alerts."""
     hours = F.expr("filter(sequence(0, 23), h -> (hour_mask & shiftleft(1, h)) != 0)")
     reached = _by_rule(rules, lambda r: F.col(r.measure) >= r.minimum)
-    identity = F.concat_ws(
-        "|",
-        *[F.coalesce(F.col(c), F.lit("")) for c in GROUP],
-        micros("timestamp").cast("string"),
-    )
+
+    def told_apart(value: Column) -> Column:
+        """Text that no other value has, whatever it contains, null included."""
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+
+    # Sliding windows over one burst share their last time, so the window's start and length belong to the identity.
+    start = F.unix_micros(F.col("window.start").cast("timestamp")).cast("string") if "window" in more_keys else F.lit(None).cast("string")
+    parts = [*[F.col(c) for c in GROUP], micros("timestamp").cast("string"), F.lit(window), start]
+    identity = F.concat_ws(",", *[told_apart(p) for p in parts])
     return (
         groups.filter(reached)
         .withColumn("hours_active", hours)
@@ -290,19 +295,20 @@ def alert_endpoints(
     return touched.join(heads, same).select("alert_id", "endpoint", "requests")
 
 
-def with_log_ids(alerts: DataFrame, members: DataFrame, limit: int = 10_000) -> DataFrame:
-    """Add ``log_ids`` in time order where the exact count is at most ``limit``.
+def log_id_chunks(members: DataFrame, length: int = 10_000) -> DataFrame:
+    """(alert_id, chunk, log_ids): all log ids of every alert in time order, in lists of ``length`` numbered from 0.
 
-    Larger alerts keep null there; their ids are read from ``members``, which always holds all.
+    The rows are numbered through the whole table, so an alert of any size is never in one task.
     """
-    small = alerts.filter(F.col("related_logs") <= limit).select("alert_id")
-    lists = (
-        members.join(small, "alert_id", "left_semi")
-        .groupBy("alert_id")
-        .agg(F.sort_array(F.collect_list(F.struct("timestamp", "log_id"))).alias("pairs"))
-        .select("alert_id", F.transform("pairs", lambda p: p["log_id"]).alias("log_ids"))
+    rows = numbered(members.select("alert_id", "timestamp", "log_id"), ["alert_id", "timestamp", "log_id"])
+    first = rows.groupBy("alert_id").agg(F.min("n").alias("_first"))
+    chunk = F.floor((F.col("n") - F.col("_first")) / length)
+    return (
+        rows.join(first, "alert_id")
+        .groupBy("alert_id", chunk.alias("chunk"))
+        .agg(F.sort_array(F.collect_list(F.struct("n", "log_id"))).alias("_pairs"))
+        .select("alert_id", "chunk", F.transform("_pairs", lambda p: p["log_id"]).alias("log_ids"))
     )
-    return alerts.join(lists, "alert_id", "left")
 
 
 # Requests allowed per client and route, and the window in seconds.

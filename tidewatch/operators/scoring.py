@@ -109,16 +109,21 @@ def hybrid_scores(
     )
 
 
-def recent_features(features: DataFrame, logs: DataFrame, days: int = 7, as_of: Column | None = None) -> DataFrame:
-    """Features of the logs of the last days; all features when none of them is that young."""
-    ids = lookback(logs, days, as_of).select(F.col("id").alias("log_id"))
-    joined = features.join(ids, "log_id", "left_semi")
-    return features if joined.isEmpty() else joined
+def recent_features(
+    features: DataFrame, logs: DataFrame, days: int = 7, as_of: Column | None = None, all_if_none: bool = False
+) -> DataFrame:
+    """Features of the logs of the last days. With ``all_if_none``, all features when no log is that young."""
+    young = lookback(logs, days, as_of)
+    if all_if_none and young.isEmpty():
+        return features
+    return features.join(young.select(F.col("id").alias("log_id")), "log_id", "left_semi")
 
 
-def evaluate_batch(logs: DataFrame, members: DataFrame, decide, days: int = 7, as_of: Column | None = None) -> DataFrame:
+def evaluate_batch(
+    logs: DataFrame, members: DataFrame, decide, days: int = 7, as_of: Column | None = None, all_if_none: bool = False
+) -> DataFrame:
     """Scores of the logs of the last days; ``decide`` maps a feature frame to (log_id, decision)."""
-    return hybrid_scores(decide(recent_features(extract_features(logs), logs, days, as_of)), members)
+    return hybrid_scores(decide(recent_features(extract_features(logs), logs, days, as_of, all_if_none)), members)
 
 
 def score_summary(scores: DataFrame) -> DataFrame:

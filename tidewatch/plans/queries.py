@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import contains_text, recent
+from tidewatch.functions.columns import contains_text, latest, recent
 from tidewatch.plans.playbooks import DEFAULT_PLAYBOOK, PLAYBOOKS
 
 ALERT_COLUMNS = [
@@ -46,7 +46,9 @@ def hourly_trend(df: DataFrame, as_of: Column | None = None, hours: int = 24, na
 
 
 def anomaly_trend(scores: DataFrame, as_of: Column | None = None, hours: int = 24) -> DataFrame:
-    return hourly_trend(scores.filter("is_anomaly"), as_of, hours, "created_at")
+    """Anomalies per hour; the last hours end at the newest score, anomalous or not."""
+    now = latest(scores, "created_at") if as_of is None else as_of
+    return hourly_trend(scores.filter("is_anomaly"), now, hours, "created_at")
 
 
 def filter_options(alerts: DataFrame) -> DataFrame:

@@ -50,7 +50,7 @@ def forest_fold_scores(folds: DataFrame, names: Sequence[str], columns: Sequence
     for name in names:
         fold = folds.filter(F.col("fold") == name).drop("fold")
         for config in configs:
-            model = K.fit_forest(fold.filter(F.col("split") == "train"), columns, config["trees"], config["balanced"])
+            model = K.fit_forest(fold.filter(F.col("split") == "train"), columns, config["trees"], config["balanced"], config.get("depth", K.DEPTH))
             judged = fold.filter(F.col("split") != "train")
             parts.append(_named(K.forest_scores(judged, model, columns), config["name"], name))
     return written(_union(parts), "forest-scores")
@@ -122,7 +122,7 @@ def run_experiment(
     parts = D.holdout_split(data)
     train, judged = parts.filter(F.col("split") == "train"), parts.filter(F.col("split") != "train")
     isolation_model = I.fit_isolation(train.filter(F.col("label") == 0), columns, isolation_config)
-    forest_model = K.fit_forest(train, columns, forest_config["trees"], forest_config["balanced"])
+    forest_model = K.fit_forest(train, columns, forest_config["trees"], forest_config["balanced"], forest_config.get("depth", K.DEPTH))
     keys = ["split", "log_id", "label"]
     isolation = I.isolation_scores(judged, isolation_model).select(*keys, "score")
     forest = K.forest_scores(judged, forest_model, columns).select(*keys, "score")
@@ -161,7 +161,7 @@ def run_experiment(
         known = parts.filter(F.col("split") != "test")
         final = I.fit_isolation(known.filter(F.col("label") == 0), columns, isolation_config)
         I.save_isolation(final, spark, f"{store}/isolation_forest", limits["isolation"])
-        deployed = K.fit_forest(known, columns, forest_config["trees"], forest_config["balanced"])
+        deployed = K.fit_forest(known, columns, forest_config["trees"], forest_config["balanced"], forest_config.get("depth", K.DEPTH))
         deployed.write().overwrite().save(f"{store}/random_forest")
         details = {"model_family": "hybrid_ensemble", "alpha_rf": alpha, "thresholds": limits, "features": list(columns)}
         spark.createDataFrame([(json.dumps(details),)], "value string").coalesce(1).write.mode("overwrite").text(f"{store}/metadata")

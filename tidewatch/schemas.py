@@ -1,101 +1,11 @@
-"""Table schemas and value domains."""
+"""Value domains and the names of the feature columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
-    return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
-
-
-RAW_LOGS = _schema(
-    ("id", T.LongType()),
-    ("log_type", T.StringType()),
-    ("timestamp", T.TimestampType()),
-    ("ip", T.StringType()),
-    ("method", T.StringType()),
-    ("endpoint", T.StringType()),
-    ("status", T.IntegerType()),
-    ("response_time_ms", T.DoubleType()),
-    ("user_agent", T.StringType()),
-    ("data", T.StringType()),
-)
-
-ALERTS = _schema(
-    ("alert_id", T.StringType()),
-    ("alert_type", T.StringType()),
-    ("severity", T.StringType()),
-    ("source", T.StringType()),
-    ("confidence", T.DoubleType()),
-    ("description", T.StringType()),
-    ("ip", T.StringType()),
-    ("timestamp", T.TimestampType()),
-    ("related_logs", T.LongType()),
-    ("metadata", T.StringType()),
-)
-
-# An alert's log ids live in rows, not in one array, so an alert may name any number of logs.
-ALERT_LOGS = _schema(
-    ("alert_id", T.StringType()),
-    ("alert_type", T.StringType()),
-    ("severity", T.StringType()),
-    ("log_id", T.LongType()),
-    ("timestamp", T.TimestampType()),
-)
-
-HYBRID_SCORES = _schema(
-    ("log_id", T.LongType()),
-    ("rule_score", T.DoubleType()),
-    ("ml_score", T.DoubleType()),
-    ("final_score", T.DoubleType()),
-    ("severity", T.StringType()),
-    ("triggered_rules", T.ArrayType(T.StringType())),
-    ("ml_confidence", T.DoubleType()),
-    ("is_anomaly", T.BooleanType()),
-    ("created_at", T.TimestampType()),
-)
-
-ML_PREDICTIONS = _schema(
-    ("id", T.LongType()),
-    ("log_id", T.LongType()),
-    ("model_name", T.StringType()),
-    ("model_version", T.StringType()),
-    ("anomaly_score", T.DoubleType()),
-    ("is_anomaly", T.BooleanType()),
-    ("features", T.StringType()),
-    ("shap_values", T.StringType()),
-    ("created_at", T.TimestampType()),
-)
-
-MODEL_RUNS = _schema(
-    ("id", T.LongType()),
-    ("run_id", T.StringType()),
-    ("model_name", T.StringType()),
-    ("model_version", T.StringType()),
-    ("hyperparameters", T.StringType()),
-    ("metrics", T.StringType()),
-    ("artifacts_path", T.StringType()),
-    ("status", T.StringType()),
-    ("created_at", T.TimestampType()),
-    ("updated_at", T.TimestampType()),
-)
-
-FEEDBACK = _schema(
-    ("id", T.LongType()),
-    ("alert_id", T.StringType()),
-    ("user_id", T.StringType()),
-    ("label", T.StringType()),
-    ("reason", T.StringType()),
-    ("created_at", T.TimestampType()),
-)
-
 # Fixed values.
 ALERT_SEVERITIES = ["LOW", "MEDIUM", "HIGH", "CRITICAL"]
 ALERT_SOURCES = ["rule", "ml", "hybrid"]
 SCORE_SEVERITIES = ["NORMAL", "MEDIUM", "HIGH", "CRITICAL"]
-RUN_STATUSES = ["RUNNING", "COMPLETED", "FAILED"]
-FEEDBACK_LABELS = ["true_positive", "false_positive", "false_negative"]
 
 # The order in which the feature columns are reported.
 FEATURES = [

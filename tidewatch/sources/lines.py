@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import ratio
+from tidewatch.functions.numbering import numbered
 
 FORMATS = ("json", "apache_combined", "auto")
 
@@ -189,5 +190,5 @@ def ingestion_report(parsed: DataFrame) -> DataFrame:
 
 
 def with_ids(logs: DataFrame, start: Column | int = 0) -> DataFrame:
-    """Number new rows upward from ``start``; like a database sequence, the numbers may have gaps."""
-    return logs.withColumn("id", F.lit(start) + F.monotonically_increasing_id() + 1)
+    """Number new rows upward from ``start``, without gaps; see ``tables.last_id`` for the start of an append."""
+    return numbered(logs, name="_row").withColumn("id", F.lit(start).cast("bigint") + F.col("_row") + 1).drop("_row")

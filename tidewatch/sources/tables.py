@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewatch.functions.columns import recent
-from tidewatch.session import written
+from tidewatch.session import discard, shared_folder
+from tidewatch.sources.lines import with_ids
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None, kind: str = "parquet", **options) -> DataFrame:
@@ -31,14 +32,24 @@ def append_logs(logs: DataFrame, path: str, rebalance: bool = True) -> None:
 
     Rows are first rebalanced by day: adaptive execution merges small days into one task and splits a
     day that holds much of the data over several, so files come out neither tiny nor huge. Input that
-    is already in day order can skip that shuffle.
+    is already in day order can skip that shuffle. Rows without ids are numbered on from the largest stored id; a table has
+    one writer at a time.
     """
+    if "id" not in logs.columns:
+        logs = with_ids(logs, last_id(logs.sparkSession, path))
     rows = logs.withColumn("date", F.to_date("timestamp"))
     if rebalance:
         rows = rows.hint("rebalance", "date")
     rows.write.mode("append").partitionBy("date").parquet(path)
 
 
+def last_id(spark: SparkSession, path: str) -> int:
+    """The largest id of a stored table, 0 without one; read from file footers alone."""
+    if not exists(spark, path) or "id" not in (stored := spark.read.parquet(path)).columns:
+        return 0
+    return stored.agg(F.max("id")).first()[0] or 0
+
+
 def load_logs(spark: SparkSession, path: str, days: int = 90, as_of: Column | None = None) -> DataFrame:
     """The last ``days`` days of stored logs; raises when there are none."""
     rows = lookback(spark.read.parquet(path), days, as_of)
@@ -49,10 +60,7 @@ def load_logs(spark: SparkSession, path: str, days: int = 90, as_of: Column | No
 
 def lookback(logs: DataFrame, days: int = 90, as_of: Column | None = None) -> DataFrame:
     """Rows of the last ``days`` days; the day column, where there is one, is pruned too."""
-    rows = recent(logs, f"{days} days", as_of)
-    if "date" in logs.columns and as_of is not None:
-        rows = rows.filter(F.col("date") >= F.to_date(as_of - F.expr(f"INTERVAL '{days} days'")))
-    return rows
+    return recent(logs, f"{days} days", as_of)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -66,19 +74,27 @@ def exists(spark: SparkSession, path: str) -> bool:
 def append_first_scores(scores: DataFrame, path: str) -> None:
     """Append scores of logs not scored before; an already stored score stays as it is.
 
+    Of several new scores of one log the largest final score counts (of equal ones the first by severity).
     The new scores are written once to the shared folder, so they are not computed again for the
     comparison, and only stored scores in their id range are compared: ids grow with time, so the
     range skips almost all of a long table.
     """
     spark = scores.sparkSession
-    fresh = written(scores.dropDuplicates(["log_id"]), "fresh-scores")
+    rest = [c for c in scores.columns if c != "log_id"]
+    order = [F.col(c) for c in ("final_score", "rule_score", "ml_score") if c in rest]
+    best = F.max_by(F.struct(*rest), F.struct(*order, F.xxhash64(*rest)))
+    folder = shared_folder(spark, "fresh-scores")
+    scores.groupBy("log_id").agg(best.alias("_best")).select("log_id", "_best.*").select(*scores.columns).write.parquet(folder)
+    fresh = spark.read.schema(scores.schema).parquet(folder)
     if exists(spark, path):
         low, high = fresh.agg(F.min("log_id"), F.max("log_id")).first()
         if low is None:
+            discard(spark, folder)
             return
         stored = spark.read.parquet(path).filter(F.col("log_id").between(low, high))
         fresh = unscored(fresh, stored)
     fresh.write.mode("append").parquet(path)
+    discard(spark, folder)
 
 
 def unscored(scores: DataFrame, stored: DataFrame) -> DataFrame:

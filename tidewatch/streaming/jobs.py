@@ -18,9 +18,7 @@ from tidewatch.operators import scoring as S
 from tidewatch.operators.features import Baselines, extract_features
 from tidewatch.sources import lines as L
 from tidewatch.sources import tables as T
-
-# Row numbers of one batch stay below this, so ids of later batches are always larger.
-_IDS_PER_BATCH = 1 << 46
+from tidewatch.session import discard, shared_folder
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, every: str | None) -> StreamingQuery:
@@ -36,18 +34,36 @@ def stream_lines(spark: SparkSession, folder: str, files_per_batch: int | None =
     return reader.text(folder)
 
 
+def _id_before(spark: SparkSession, table: str, number: int) -> int:
+    """The largest id of the batches before this one; ids rise with batches, so only the newest is read."""
+    if not T.exists(spark, table):
+        return 0
+    before = spark.read.parquet(table).filter(F.col("batch") < number)
+    newest = before.agg(F.max("batch")).first()[0]
+    return 0 if newest is None else before.filter(F.col("batch") == newest).agg(F.max("id")).first()[0]
+
+
+def store_lines(batch: DataFrame, number: int, table: str, log_format: str = "json") -> None:
+    """One batch of lines: log rows to ``table``, lines that could not be parsed to ``table``_failed, and counts to ``table``_report.
+
+    Each goes to the batch's own folder and replaces it when the batch is repeated after a failure, so no line is stored twice.
+    """
+    spark, work = batch.sparkSession, shared_folder(batch.sparkSession, "batch")
+    L.parse_lines(batch, log_format).write.parquet(work)
+    parsed = spark.read.parquet(work)
+    rows = L.with_ids(L.normalised(parsed), _id_before(spark, table, number)).withColumn("date", F.to_date("timestamp"))
+    rows.write.mode("overwrite").partitionBy("date").parquet(f"{table}/batch={number}")
+    L.failed_lines(parsed).write.mode("overwrite").parquet(f"{table}_failed/batch={number}")
+    L.ingestion_report(parsed).write.mode("overwrite").parquet(f"{table}_report/batch={number}")
+    discard(spark, work)
+
+
 def ingest(
     lines: DataFrame, table: str, checkpoint: str, log_format: str = "json", every: str | None = None
 ) -> StreamingQuery:
-    """Parse lines and store them as log rows with ids.
-
-    A batch is written to its own folder and replaces it when the batch is repeated after a failure,
-    so no line is stored twice.
-    """
+    """Parse lines and store them as log rows with ids that rise from batch to batch; failed lines are kept and counted."""
     def store(batch: DataFrame, number: int) -> None:
-        rows = L.normalised(L.parse_lines(batch, log_format))
-        rows = L.with_ids(rows, number * _IDS_PER_BATCH).withColumn("date", F.to_date("timestamp"))
-        rows.write.mode("overwrite").partitionBy("date").parquet(f"{table}/batch={number}")
+        store_lines(batch, number, table, log_format)
 
     return _start(lines.writeStream.foreachBatch(store), checkpoint, every)
 
