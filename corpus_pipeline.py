@@ -41,8 +41,10 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids, and decoded: whether the ids give back the text."""
     ready(spark)
     codec = bpe.public_codec()
+    # The driver also holds what earlier stages left: a smaller dictionary, which changes the work and not the ids.
+    most = bpe.DICTIONARY // 4
     text = F.coalesce(F.col("row.text"), F.lit("")).cast("binary")
-    return bpe.encode(docs.select("doc_id", "source", "text"), codec).select(
+    return bpe.encode(docs.select("doc_id", "source", "text"), codec, most).select(
         "row.doc_id", "row.source", F.size("ids").cast("long").alias("n_tokens"), F.col("ids").cast("array<int>").alias("ids"),
         (codec.decoded(F.col("ids")) == text).alias("decoded"),
     )

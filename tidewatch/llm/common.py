@@ -16,6 +16,8 @@ BATCH_ROWS = 400
 
 def ready(spark: SparkSession) -> SparkSession:
     prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    # A plan with literal tables would be kept by the driver as a text of megabytes.
+    spark.conf.set("spark.sql.maxPlanStringLength", "20000")
     return spark
 
 
