@@ -37,12 +37,15 @@ class Vocabulary:
     scores: dict[str, float]
     longest: int = 0
     line_end_is_apart: bool = True
+    order: dict[str, int] = field(default_factory=dict)
+    splits: dict[str, list[str]] = field(default_factory=dict)
     follows: dict[tuple[str, str], bool] = field(default_factory=dict)
     young: dict[str, int] = field(default_factory=dict)
     old: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self):
         self.longest = max(map(len, self.scores))
+        self.order = {piece: at for at, piece in enumerate(sorted(self.scores, key=lambda p: -self.scores[p]))}
         self.line_end_is_apart = not any("\n" in piece for piece in self.scores)
         crossing = [p for p in self.scores if MARK in p[1:] and p.strip(MARK)]
         if crossing:
@@ -62,12 +65,47 @@ class Vocabulary:
             parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
         return parts
 
+    def split(self, token: str) -> list[str]:
+        """The two tokens whose merge makes this one."""
+        parts = self.splits.get(token)
+        if parts is None:
+            score, parts = self.scores[token], list(token)
+            while len(parts) > 2:
+                found = [(self.scores.get(parts[i] + parts[i + 1], score), -i) for i in range(len(parts) - 1)]
+                at = -max(found)[1]
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            self.splits[token] = parts
+        return parts
+
+    def stay_apart(self, left: str, right: str) -> bool:
+        """Whether no merge reaches over the border while both tokens form, looked at from the end back to single characters.
+
+        The token that formed later is undone first. Two neighbours at the border merge if that comes before the next merge of
+        either one; of equal merges the left one comes first.
+        """
+        left_next = right_next = len(self.order)
+        while True:
+            across = self.order.get(left + right)
+            if across is not None and across < left_next and across <= right_next:
+                return False
+            left_born = self.order[left] if len(left) > 1 else -1
+            right_born = self.order[right] if len(right) > 1 else -1
+            if left_born < 0 and right_born < 0:
+                return True
+            if left_born > right_born:
+                left_next, left = left_born, self.split(left)[1]
+            else:
+                right_next, right = right_born, self.split(right)[0]
+
     def may_follow(self, left: str, right: str) -> bool:
         known = self.follows.get((left, right))
         if known is None:
             if len(self.follows) > REMEMBERED:
                 self.follows.clear()
-            known = self.follows[left, right] = self.merged(left + right) == [left, right]
+            # Runs of blanks have one score for several lengths, so their merges have no order of their own.
+            runs = left[-2:] == MARK * 2 or right[:2] == MARK * 2 or left[-1:] == right[:1] == MARK
+            known = self.merged(left + right) == [left, right] if runs else self.stay_apart(left, right)
+            self.follows[left, right] = known
         return known
 
     def unit_counts(self, unit: str) -> list[int]:
