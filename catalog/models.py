@@ -1,11 +1,11 @@
-"""Real models: fitted and judged on the whole tables, with small configurations. No SQL equivalent."""
+"""Real models: fitted and judged on the whole tables, with small configurations; what SQL can state about them is checked."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import logs, shown
-from catalog.training import attack_members
+from catalog.common import logs, shown, with_ctes
+from catalog.training import ATTACK_CTE, attack_members
 from tidewatch.operators import classifier as K
 from tidewatch.operators import dataset as D
 from tidewatch.operators import evaluation as V
@@ -21,17 +21,11 @@ FOREST = {"name": "10/balanced", "trees": 10, "balanced": True, "depth": 10, "th
 COLUMNS = FEATURES
 
 
-_STORED: dict[tuple[str, str], object] = {}
-
-
 def dataset(spark, folder):
-    """The training data set, written once per application and folder."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _STORED:
-        rows = logs(spark, folder)
-        labelled = D.label_logs(E.extract_features(rows), attack_members(rows))
-        _STORED[key] = written(D.with_protocol(labelled).drop("data"), "model-data")
-    return _STORED[key]
+    """The training data set of the folder's tables as they are now, written since fitting reads it many times."""
+    rows = logs(spark, folder)
+    labelled = D.label_logs(E.extract_features(rows), attack_members(rows))
+    return written(D.with_protocol(labelled).drop("data"), "model-data")
 
 
 def _fit_score(spark, folder):
@@ -81,7 +75,37 @@ def _stored(spark, folder):
     return shown(S.score_summary(S.hybrid_scores(decided, attack_members(rows))))
 
 
+def _decision_ranges(spark, folder):
+    found = _fit_score(spark, folder)
+    return found.agg(
+        F.count(F.lit(1)).alias("logs"), F.count_distinct("log_id").alias("ids"), F.count_if(F.col("decision").between(-0.5, 0.5)).alias("in_range"),
+        (F.avg(F.when(F.col("label") == 1, F.col("decision"))) < F.avg(F.when(F.col("label") == 0, F.col("decision")))).alias("attacks_lower"))
+
+
+def _tree_sizes(spark, folder):
+    found = _nodes(spark, folder)
+    return found.agg(F.count(F.lit(1)).alias("trees"), F.count_if(F.col("nodes").between(3, 2 * ISOLATION.samples - 1)).alias("sized"))
+
+
+def _forest_ranges(spark, folder):
+    return _forest(spark, folder).groupBy("split").agg(
+        F.count(F.lit(1)).alias("logs"), F.sum("label").alias("anomalies"), F.count_if(F.col("score").between(0, 1)).alias("in_range"))
+
+
+def _ranks(spark, folder):
+    return _elimination(spark, folder).groupBy("rank").agg(F.count(F.lit(1)).alias("features"), F.count_distinct("feature").alias("different"))
+
+
+def _stored_counts(spark, folder):
+    return _stored(spark, folder).agg(F.sum("logs").alias("logs"), F.max("total").alias("total"), F.round(F.sum("percent"), 4).alias("percent"))
+
+
 QUERIES = {
+    "model_isolation_decision_ranges": _decision_ranges,
+    "model_isolation_tree_sizes": _tree_sizes,
+    "model_forest_score_ranges": _forest_ranges,
+    "model_feature_ranks": _ranks,
+    "model_hybrid_stored_counts": _stored_counts,
     "model_isolation_decision": _fit_score,
     "model_isolation_trees": _nodes,
     "model_forest_scores": _forest,
@@ -90,4 +114,15 @@ QUERIES = {
     "model_experiment": _experiment,
     "model_hybrid_stored": _stored,
 }
-ORACLE: dict[str, str] = {}
+
+# What SQL can state about a fitted model: row counts, ranges, sizes and ranks.
+ORACLE = {
+    "model_isolation_decision_ranges": with_ctes("SELECT count(*) AS logs, count(*) AS ids, count(*) AS in_range, true AS attacks_lower FROM logs"),
+    "model_isolation_tree_sizes": f"SELECT CAST({ISOLATION.n_estimators} AS BIGINT) AS trees, CAST({ISOLATION.n_estimators} AS BIGINT) AS sized",
+    "model_forest_score_ranges": with_ctes(
+        """SELECT split, count(*) AS logs, CAST(sum(label) AS BIGINT) AS anomalies, count(*) AS in_range FROM (SELECT label, CASE WHEN pos < floor(total * 0.6::DOUBLE) THEN 'train'
+ WHEN pos < floor(total * 0.8::DOUBLE) THEN 'validation' ELSE 'test' END AS split FROM dataset) WHERE split <> 'train' GROUP BY split""", ATTACK_CTE),
+    "model_feature_ranks": f"""SELECT CAST(rank AS INT) AS rank, CAST(n AS BIGINT) AS features, CAST(n AS BIGINT) AS different
+ FROM (VALUES (1, {len(COLUMNS) - 3}), (2, 1), (3, 1), (4, 1)) v(rank, n)""",
+    "model_hybrid_stored_counts": with_ctes("SELECT count(*) AS logs, count(*) AS total, 100.0::DOUBLE AS percent FROM logs"),
+}

@@ -22,6 +22,7 @@ from tidewatch.schemas import FEATURES
 
 FIVE_MINUTES = 300
 _BUCKET = FIVE_MINUTES * 1_000_000
+_SECOND = 1_000_000
 _KEPT = 59  # the row counter stops at 60
 _MOMENT = ["ip", "bucket", "at"]
 
@@ -83,18 +84,25 @@ def ip_buckets(logs: DataFrame) -> DataFrame:
 def request_gaps(logs: DataFrame, buckets: DataFrame | None = None) -> DataFrame:
     """One row per (ip, time) with the seconds since the address's previous request (``_gap``).
 
-    Requests of one address at the same microsecond are combined first, so the window of a bucket
-    holds distinct times only; the step from one bucket to the next comes from the bucket table.
+    Requests of one address at the same microsecond are combined first and looked at second by second,
+    so no window holds more than a million rows however busy an address is. The step from one second
+    to the next comes from a table of the seconds' ends (at most 300 in a bucket), the step from one
+    bucket to the next from the bucket table.
     """
     moments = logs.groupBy(*_MOMENT).agg(F.min("id").alias("_first_id"), F.count(F.lit(1)).alias("_rows"))
+    moments = moments.withColumn("_second", floor_to(F.col("at"), _SECOND))
+    ends = moments.groupBy("ip", "bucket", "_second").agg(F.max("at").alias("_end"))
+    in_bucket = W.partitionBy("ip", "bucket").orderBy("_second")
+    ends = ends.withColumn("_end_before", F.lag("_end").over(in_bucket)).drop("_end")
     if buckets is None:
         buckets = _before_bucket(logs.groupBy("ip", "bucket").agg(F.max("at").alias("_last_at")))
-    previous = F.lag("at").over(W.partitionBy("ip", "bucket").orderBy("at"))
+    previous = F.lag("at").over(W.partitionBy("ip", "bucket", "_second").orderBy("at"))
     return (
         moments.withColumn("_previous_at", previous)
+        .join(ends, ["ip", "bucket", "_second"])
         .join(buckets, ["ip", "bucket"])
-        .withColumn("_gap", (F.col("at") - F.coalesce("_previous_at", "_before_at")) / 1_000_000)
-        .drop("_previous_at", "_before_at")
+        .withColumn("_gap", (F.col("at") - F.coalesce("_previous_at", "_end_before", "_before_at")) / 1_000_000)
+        .drop("_previous_at", "_end_before", "_before_at", "_second")
     )
 
 
