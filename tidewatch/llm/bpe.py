@@ -19,7 +19,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
-from functools import lru_cache
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,7 +78,7 @@ class Codec:
     def _char(self, token: bytes) -> str:
         return token.decode("latin-1") if len(token) == 1 else chr(_ABOVE + self.ranks[token])
 
-    @lru_cache(maxsize=1)
+    @cached_property
     def _rank_map(self) -> Column:
         """Buckets of tokens of several bytes and their ranks."""
         buckets = [{"k": [], "v": []} for _ in range(_TOKEN_BUCKETS)]
@@ -88,19 +88,23 @@ class Codec:
             bucket["v"].append(self.ranks[token])
         return _constant(buckets, "array<struct<k:array<binary>,v:array<int>>>")
 
-    @lru_cache(maxsize=1)
+    @cached_property
     def _merges(self) -> Column:
-        """By rank: the two characters that a merge replaces by one."""
-        steps = [{"two": "", "one": ""}] * (max(self.ranks.values()) + 1)
-        for token, (left, right) in self.merges.items():
-            steps[self.ranks[token]] = {"two": self._char(left) + self._char(right), "one": self._char(token)}
-        return _constant(steps, "array<struct<two:string,one:string>>")
-
-    @lru_cache(maxsize=1)
+        """By rank: each token as one character, and the ranks of the two tokens it is made of (-1 for a single byte)."""
+        tokens = sorted(self.ranks, key=self.ranks.get)
+        if [self.ranks[t] for t in tokens] != list(range(len(tokens))):
+            raise ValueError("ranks must be 0, 1, 2, ... without gaps")
+        parts = [self.merges.get(t) for t in tokens]
+        return _constant(
+            {"c": [self._char(t) for t in tokens], "l": [self.ranks[p[0]] if p else -1 for p in parts], "r": [self.ranks[p[1]] if p else -1 for p in parts]},
+            "struct<c:array<string>,l:array<int>,r:array<int>>",
+        )
+
+    @cached_property
     def _byte_ids(self) -> Column:
         return _constant([self.ranks[bytes([b])] for b in range(256)], "array<int>")
 
-    @lru_cache(maxsize=1)
+    @cached_property
     def _pieces(self) -> Column:
         pieces = [""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
@@ -127,14 +131,17 @@ class Codec:
             found = F.flatten(F.transform(F.sequence(F.lit(1), F.length(raw) - 1), from_place))
             return F.sort_array(F.filter(found, lambda x: x.isNotNull()))
 
+        def two(steps: Column, rank: Column) -> Column:
+            return F.concat(F.get(steps["c"], F.get(steps["l"], rank)), F.get(steps["c"], F.get(steps["r"], rank)))
+
         def merged(steps: Column, raw: Column) -> Column:
-            found = _bound(self._rank_map(), lambda maps: ranks(maps, raw))
+            found = _bound(self._rank_map, lambda maps: ranks(maps, raw))
             text = F.decode(raw, "ISO-8859-1")
-            apply = F.aggregate(found, text, lambda t, r: _bound(F.get(steps, r), lambda m: F.replace(t, m["two"], m["one"])))
+            apply = F.aggregate(found, text, lambda t, r: F.replace(t, two(steps, r), F.get(steps["c"], r)))
             return F.when(F.length(raw) < 2, text).otherwise(apply)
 
-        text = _bound(self._merges(), lambda steps: _bound(word.cast("binary"), lambda raw: merged(steps, raw)))
-        ids = _bound(self._byte_ids(), lambda known: F.transform(
+        text = _bound(self._merges, lambda steps: _bound(word.cast("binary"), lambda raw: merged(steps, raw)))
+        ids = _bound(self._byte_ids, lambda known: F.transform(
             F.split(text, ""), lambda c: F.when(F.ascii(c) < 256, F.get(known, F.ascii(c))).otherwise(F.ascii(c) - _ABOVE)
         ))
         return F.array_join(ids, ",")
@@ -159,7 +166,7 @@ class Codec:
 
     def decoded(self, ids: Column) -> Column:
         """The bytes of an array of ids (as text)."""
-        return F.encode(_bound(self._pieces(), lambda pieces: F.array_join(F.transform(ids, lambda i: F.get(pieces, i.cast("int"))), "")), "ISO-8859-1")
+        return F.encode(_bound(self._pieces, lambda pieces: F.array_join(F.transform(ids, lambda i: F.get(pieces, i.cast("int"))), "")), "ISO-8859-1")
 
 
 def common_words(docs: DataFrame, codec: Codec, most: int = DICTIONARY) -> dict[str, str]:
