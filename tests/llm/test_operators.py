@@ -100,6 +100,28 @@ def test_near_groups(docs, rows):
     assert len(stay) == len({c for _, _, c in want})
 
 
+def test_drop_near_without_telling_ids(spark):
+    """Null and repeated ids: one row of each component stays, whatever the ids of the others are."""
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    texts = [words(rng, 40) for _ in range(12)]
+    rows = [(None, t, n) for n, t in enumerate(texts[:4])]  # different texts, no id
+    rows += [(5, texts[4], 10), (None, texts[4], 11), (None, texts[4], 12)]  # named by an id
+    rows += [(6, texts[5], 20), (6, texts[6], 21), (6, texts[6], 22)]  # one id in two components
+    rows += [(None, texts[7], 30), (None, texts[7].upper(), 31)] + [(7, None, 40), (8, "", 41)]
+    frame = ready(spark).createDataFrame(rows, "doc_id long, text string, mark long").repartition(3)
+    members = defaultdict(list)
+    for doc_id, text, mark in rows:
+        members[brute_fingerprint(text)].append((doc_id, mark))
+    assert all((a ^ b).bit_count() > 4 for a in members for b in members if a != b)
+    got = corpus_pipeline.without_near_copies(spark, frame, "").collect()
+    assert len(got) == len(members) == 9 and Counter(rows) >= Counter(tuple(r) for r in got)
+    for r in got:
+        ids = [i for i, _ in members.pop(brute_fingerprint(r.text)) if i is not None]
+        assert r.doc_id == min(ids, default=None)
+
+
 def test_every_link_meets_at_an_anchor():
     rng = np.random.default_rng(3)
     fps = rng.integers(0, 1 << 63, 300, dtype=np.uint64)

@@ -57,14 +57,16 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(total * 2 > count, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) per row of docs; fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, *carried: str) -> DataFrame:
+    """(doc_id, fp) per row of docs, with its whole numbers `carried`; fp is the fingerprint as a signed long."""
+    numbers = ("doc_id", *carried)
 
     def make(batch: pa.RecordBatch) -> dict:
         found = np.array([fingerprint(x) for x in lowered(raw_texts(batch))], np.uint64)
-        return {"doc_id": batch.column("doc_id"), "fp": found.view(np.int64)}
+        return {n: batch.column(n) for n in numbers} | {"fp": found.view(np.int64)}
 
-    return arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), make, "doc_id long, fp long")
+    rows = docs.select(*[F.col(n).cast("long") for n in numbers], F.col("text").cast("string"))
+    return arrow(rows, make, ", ".join(f"{n} long" for n in (*numbers, "fp")))
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -198,27 +200,33 @@ def links_of(fps: DataFrame, max_bits: int = MAX_BITS, cell_rows: int = CELL_ROW
     return cells.mapInArrow(_compare(max_bits), "a long, b long")
 
 
+def _rooted(fps: DataFrame, **settings) -> DataFrame:
+    """fps (distinct fp, and more) with the root of its component."""
+    roots = components(links_of(fps, **settings))
+    return fps.join(roots, fps.fp == roots.node, "left").select(*fps.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_groups(docs: DataFrame, **settings) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, fingerprint (16 hex digits), component_id."""
     base = written(fingerprints(docs), "fingerprints")
     fps = written(base.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
-    roots = components(links_of(fps, **settings))
-    placed = fps.join(roots, fps.fp == roots.node, "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    placed = _rooted(fps, **settings)
     named = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     named = placed.join(named, "root").select("fp", "component_id")
     return base.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of docs that stay: of each component the row with its smallest doc_id (one, if rows repeat), with all columns."""
-    groups = written(near_groups(docs, **settings), "near-groups")
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    repeated = stay.groupBy("component_id").count().where("count > 1")
-    stay = stay.select(F.col("component_id").alias("stay_id")).distinct()
-    rows = docs.select(F.struct("*").alias("row")).join(stay, F.col("row.doc_id").cast("long").eqNullSafe(F.col("stay_id")))
-    if repeated.limit(1).count():
-        rows = rows.groupBy("stay_id").agg(F.min_by("row", "row.text").alias("row"))
-    return rows.select("row.*")
+    """The rows of docs that stay, with all columns: one of each component, with its smallest doc_id; null ids come last.
+
+    Rows are numbered and written with their numbers first, so ids need not tell rows apart.
+    """
+    rows = written(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct("*").alias("row")), "numbered-rows")
+    base = fingerprints(rows.select("rid", "row.doc_id", "row.text"), "rid")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", "rid")
+    fps = written(base.groupBy("fp").agg(F.min(place).alias("first")), "distinct-fingerprints")
+    stay = _rooted(fps, **settings).groupBy("root").agg(F.min("first").alias("first")).select("first.rid")
+    return rows.join(stay, "rid").select("row.*")
 
 
 def op10_simhash(spark, folder: str) -> DataFrame:
