@@ -360,6 +360,32 @@ def test_pseudonyms_are_permutations(spark):
         assert row.n == row.m == row.same
 
 
+def test_every_email_is_masked(spark):
+    """Without a digit, with letters of any script, and longer than one hash."""
+    from pyspark.sql import functions as F
+
+    long = [("ab" * 100, "a7" * 200), ("ab" * 99 + "ac", "a7" * 199 + "a8")]
+    locals_ = ["jane.doe", "Jane.Doe", "jörg", "žofie.š", "иван.петров", "иван.петроа", "李小龙", "x٣٤", "𝒜𝒷", "é", *(x for pair in long for x in pair)]
+    emails = [f"{x}@example.com" for x in locals_]
+    texts = [f"write to {e} now" for e in emails] + [f"{e} or call 1" for e in emails]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.row.doc_id: r for r in pii.pseudonymised(frame).select("row", "masked", F.transform("found", pii.kind_of).alias("kinds")).collect()}
+    masked = [re.fullmatch("write to (.*) now", got[i].masked)[1] for i in range(len(emails))]
+    for i, email in enumerate(emails):
+        assert got[i].kinds == got[i + len(emails)].kinds == ["email"]
+        assert masked[i] != email and got[i + len(emails)].masked == f"{masked[i]} or call 1"
+        local = masked[i].removesuffix("@example.com")
+        assert len(local) == len(locals_[i]) and all(ord(a) // 256 == ord(b) // 256 for a, b in zip(local, locals_[i]))
+    assert len({m.lower() for m in masked[2:]}) == len(masked) - 2
+    for text in locals_[-4:]:  # places beyond the first hash change as well
+        new = masked[locals_.index(text)]
+        assert sum(a != b for a, b in zip(new[150:200], text[150:200])) > 25
+    assert pii.pseudonymised(spark.createDataFrame([(m,) for m in masked], "text string")).select(F.transform("found", pii.kind_of)).distinct().count() == 1
+    single = spark.range(0x400, 0x500).select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c")).where(F.col("c").rlike(r"\p{L}"))
+    counted = single.select(pii.pseudonym(F.concat("c", F.lit("а@example.com"))).alias("p")).agg(F.count("p").alias("n"), F.countDistinct("p").alias("m")).first()
+    assert counted.n == counted.m > 200
+
+
 def page(nav, body, foot):
     return f"<html><body><div>{nav}</div>" + "".join(f"<p>{x}</p>" for x in body) + f"<div>{foot}</div></body></html>"
 

@@ -8,8 +8,11 @@ documents, different values different ones, and blanks, signs and separators sta
 digits keeps how far its last digit is from the Luhn digit, an account number gets valid check digits. Dates are permuted by day
 number, walking on while the network leaves the range.
 
+Every digit and letter before the @ of an email is permuted; letters and numbers outside ASCII keep the block of 256 code points
+that they stand in.
+
 The pattern starts only where a word or number starts and does not go back, so its time grows with the text's length. Texts
-without digits are passed through.
+without a digit and without an @, which no value can be in, are passed through.
 
 Defined results: null text stays null and counts no values; an empty text stays empty. Values that fail validation stay as they
 are. Repeated rows give repeated rows. Other columns of the input are kept by `pseudonymised` and not read by the query. An
@@ -53,16 +56,27 @@ def _hashed(key: str, *parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), *parts), 512)
 
 
-def feistel(symbols: Column, radix: Column, tweak: Column, key: str) -> Column:
-    """A keyed permutation of arrays of numbers below radix, of up to 128 symbols, of the same length and tweak."""
+def _added(symbol: Column, hashed: Column, radix: Column) -> Column:
+    return F.pmod(symbol + hashed, radix)
+
+
+def feistel(symbols: Column, radix: Column | None, tweak: Column, key: str, added=_added, shown=lambda symbols: symbols) -> Column:
+    """A keyed permutation of arrays of numbers below radix, of the same length and tweak.
+
+    `added` shifts a symbol by a number and `shown` gives the numbers of symbols that are more than that.
+    """
     half = F.floor(F.size(symbols) / 2).cast("int")
     start = F.struct(F.slice(symbols, 1, half).alias("a"), F.slice(symbols, half + 1, F.size(symbols)).alias("b"))
 
     def turn(state: Column, number: Column) -> Column:
         def shifted(text: Column) -> Column:
-            return F.transform(state["a"], lambda x, k: F.pmod(x + F.conv(F.substring(text, k * 2 + 1, F.lit(2)), 16, 10).cast("int"), radix))
+            return F.transform(state["a"], lambda x, k: added(x, F.conv(F.substring(text, k * 2 + 1, F.lit(2)), 16, 10).cast("int"), radix))
 
-        text = _hashed(key, tweak, number.cast("string"), F.size(symbols).cast("string"), F.array_join(state["b"], ","))
+        parts = (tweak, number.cast("string"), F.size(symbols).cast("string"), F.array_join(shown(state["b"]), ","))
+        text, size = _hashed(key, *parts), F.size(state["a"])
+        # A hash of 128 hexadecimal digits shifts 64 symbols; later ones take further hashes.
+        more = F.transform(F.sequence(F.lit(1), F.floor((size - 1) / 64).cast("int")), lambda block: _hashed(key, F.lit("block"), block.cast("string"), *parts))
+        text = F.when(size > 64, F.concat(text, F.array_join(more, ""))).otherwise(text)
         return F.struct(state["b"].alias("a"), _bound(text, shifted).alias("b"))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, turn, lambda s: F.concat(s["a"], s["b"]))
@@ -76,32 +90,68 @@ def _values(text: Column, alphabet: str) -> Column:
     return F.when(text == "", F.array().cast("array<int>")).otherwise(_symbols(text, alphabet))
 
 
-def _refilled(text: Column, digits: Column, letters: Column) -> Column:
-    """text with its digits, and its letters a-z in either case, replaced in order; all else stays."""
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("d"), F.lit(0).alias("l"))
+def _block(c: Column) -> Column:
+    """The letters and numbers outside ASCII among the 256 code points around c."""
+    first = F.floor(F.conv(F.hex(F.encode(c, "UTF-32")), 16, 10).cast("int") / 256)
+    points = F.transform(F.sequence(F.lit(0), F.lit(255)), lambda k: F.lpad(F.hex(first * 256 + k), 8, "0"))
+    # Halves of surrogate pairs are no characters; no letter is in their blocks.
+    return F.regexp_replace(F.decode(F.unhex(F.array_join(points, "")), "UTF-32"), r"[^\p{L}\p{N}]|[\x00-\x7F]", "")
+
+
+def _others(text: Column) -> Column:
+    """The letters and numbers outside ASCII, each as its place in its block and the block."""
+    found = F.regexp_replace(text, r"[^\p{L}\p{N}]|[\x00-\x7F]", "")
+    places = F.transform(F.split(found, ""), lambda c: _bound(_block(c), lambda b: F.struct((F.instr(b, c) - 1).alias("x"), b.alias("block"))))
+    return F.when(found == "", F.array().cast("array<struct<x:int,block:string>>")).otherwise(places)
+
+
+def _others_moved(others: Column, tweak: Column, key: str) -> Column:
+    def added(symbol: Column, hashed: Column, _) -> Column:
+        return F.struct(F.pmod(symbol["x"] + hashed, F.length(symbol["block"])).alias("x"), symbol["block"].alias("block"))
+
+    moved = feistel(others, None, tweak, key, added, lambda symbols: F.transform(symbols, lambda s: s["x"]))
+    return F.transform(moved, lambda s: F.substring(s["block"], s["x"] + 1, F.lit(1)))
+
+
+def _refilled(text: Column, digits: Column, letters: Column, others: Column | None = None) -> Column:
+    """text with its digits, its letters a-z in either case, and what else `others` has, replaced in order; all else stays."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("d"), F.lit(0).alias("l"), F.lit(0).alias("o"))
+
+    def next_state(state: Column, out: Column, **moved: int) -> Column:
+        return F.struct(F.concat(state["out"], out).alias("out"), *[(state[n] + moved.get(n, 0)).alias(n) for n in "dlo"])
 
     def put(state: Column, c: Column) -> Column:
         letter = F.substring(F.lit(_LETTERS), F.get(letters, state["l"]) + 1, F.lit(1))
-        return (
-            F.when(c.between("0", "9"), F.struct(F.concat(state["out"], F.get(digits, state["d"]).cast("string")).alias("out"), (state["d"] + 1).alias("d"), state["l"].alias("l")))
-            .when(c.between("a", "z"), F.struct(F.concat(state["out"], letter).alias("out"), state["d"].alias("d"), (state["l"] + 1).alias("l")))
-            .when(c.between("A", "Z"), F.struct(F.concat(state["out"], F.upper(letter)).alias("out"), state["d"].alias("d"), (state["l"] + 1).alias("l")))
-            .otherwise(F.struct(F.concat(state["out"], c).alias("out"), state["d"].alias("d"), state["l"].alias("l")))
+        new = (
+            F.when(c.between("0", "9"), next_state(state, F.get(digits, state["d"]).cast("string"), d=1))
+            .when(c.between("a", "z"), next_state(state, letter, l=1))
+            .when(c.between("A", "Z"), next_state(state, F.upper(letter), l=1))
         )
+        if others is not None:
+            new = new.when(c > "\x7f", next_state(state, F.get(others, state["o"]), o=1))
+        return new.otherwise(next_state(state, c))
 
     return F.aggregate(F.split(text, ""), start, put, lambda s: s["out"])
 
 
 def _mixed(text: Column, tweak: str, key: str) -> Column:
-    """Digits and letters permuted, each among themselves; long texts by their first 128 of each."""
+    """Digits, letters a-z, and letters and numbers outside ASCII permuted, each among themselves."""
     digits = _values(F.regexp_replace(text, r"[^0-9]", ""), "0123456789")
     letters = _values(F.lower(F.regexp_replace(text, r"[^A-Za-z]", "")), _LETTERS)
 
-    def then(ds: Column) -> Column:
-        new_letters = feistel(letters, F.lit(26), F.concat(F.lit(tweak), F.array_join(ds, ",")), key)
-        return _bound(new_letters, lambda ls: _refilled(text, feistel(ds, F.lit(10), F.concat(F.lit(tweak), F.array_join(ls, ",")), key), ls))
+    def plain(ds: Column) -> Column:
+        return _bound(feistel(letters, F.lit(26), F.concat(F.lit(tweak), F.array_join(ds, ",")), key), lambda ls: _refilled(text, then(ds, ls), ls))
+
+    def then(ds: Column, ls: Column) -> Column:
+        return feistel(ds, F.lit(10), F.concat(F.lit(tweak), F.array_join(ls, ",")), key)
+
+    def with_others(ds: Column) -> Column:
+        foreign = F.regexp_replace(text, r"[\x00-\x7F]", "")
+        moved = feistel(letters, F.lit(26), F.concat(F.lit(tweak), F.array_join(ds, ","), F.lit(";"), foreign), key)
+        return _bound(moved, lambda ls: _bound(then(ds, ls), lambda new: _refilled(
+            text, new, ls, _others_moved(_others(text), F.concat(F.lit(tweak), F.array_join(new, ","), F.lit(";"), F.array_join(ls, ",")), key))))
 
-    return _bound(digits, then)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), _bound(digits, with_others)).otherwise(_bound(digits, plain))
 
 
 def _luhn(payload: Column) -> Column:
@@ -237,7 +287,7 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
 
 def found_in(text: Column) -> Column:
     """All values that the pattern matches, in order."""
-    return F.when(text.rlike(r"\d"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return F.when(text.rlike(r"[\d@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def _rewritten(text: Column, found: Column, key: str) -> Column:
