@@ -407,6 +407,13 @@ def test_pages(spark):
     assert pages.main_text(frame.limit(0)).count() == 0
 
 
+def test_differencing_beside_an_article(spark):
+    """Where an article is marked, lines outside it go only if the partner has them."""
+    html = "<div>Menu</div><article><p>Same</p><p>Own {0}</p></article><div>Written by {0}</div><div>Imprint</div>"
+    frame = ready(spark).createDataFrame([(i, f"http://h/{i}", html.format(i)) for i in range(4)], "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in pages.main_text(frame).collect()} == {i: f"Same\n\nOwn {i}\n\nWritten by {i}" for i in range(4)}
+
+
 def test_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):

@@ -4,7 +4,7 @@ A page becomes lines, one per block element, without scripts, styles, forms and
 footer, side column, notice, advert or comment. Pages are ordered by host and path; a page's partner is the neighbour of the same
 host whose path shares the longer prefix. The lines of both are aligned by longest common subsequence, and lines that both
 have are deleted. Lines inside an element that marks the page's article are never deleted: articles of one host share whole
-paragraphs, which belong to them; where an article is marked, lines outside it are not main text. A partner that shares four
+paragraphs, which belong to them. Differencing decides about all other lines, whether or not an article is marked. A partner that shares four
 fifths of a page's lines or more is a copy of it and says nothing about its frame, so nothing is deleted then.
 
 Only hashes of lines are sorted and paired, so no host, however large, is gathered anywhere.
@@ -19,6 +19,7 @@ import hashlib
 import zlib
 from bisect import bisect_left
 from html.parser import HTMLParser
+from itertools import count
 from os.path import commonprefix
 
 import pyarrow as pa
@@ -222,11 +223,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     def finish(batch: pa.RecordBatch) -> dict:
         texts = []
         for inside, body, dropped in zip(*(batch.column(n).to_pylist() for n in ("inside", "body", "drop"))):
-            lines, gone = zlib.decompress(body).decode().split("\n"), set(dropped or ())
-            if any(inside):
-                kept = [line for line, own in zip(lines, inside) if own]
-            else:
-                kept = [line for at, line in enumerate(lines[: len(inside)]) if at not in gone]
+            gone, outside, kept = set(dropped or ()), count(), []
+            for line, own in zip(zlib.decompress(body).decode().split("\n"), inside):
+                if own or next(outside) not in gone:
+                    kept.append(line)
             texts.append("\n\n".join(kept))
         return {"page_id": batch.column("page_id"), "url": batch.column("url"), "text": texts, "n_chars": [len(x) for x in texts]}
 
