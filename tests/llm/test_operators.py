@@ -414,6 +414,27 @@ def test_differencing_beside_an_article(spark):
     assert {r.page_id: r.text for r in pages.main_text(frame).collect()} == {i: f"Same\n\nOwn {i}\n\nWritten by {i}" for i in range(4)}
 
 
+def test_partners_of_copies(spark):
+    """Large frames go, and pages of a run of copies are compared with what stands before and after the run."""
+    menu = [f"menu {n}" for n in range(20)]
+    rows = [(i, f"http://h/a{i}", page("<br>".join(["top"]), menu + [f"own {i} {n}" for n in range(3)], "end")) for i in range(4)]
+    rows += [(100 + v, f"http://h/a2b?v={v}", page("top", [*menu, "copied"], "end")) for v in range(40)]
+    frame = ready(spark).createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.main_text(frame).collect()}
+    assert got == {i: "\n\n".join(f"own {i} {n}" for n in range(3)) for i in range(4)} | {100 + v: "copied" for v in range(40)}
+    rng = random.Random(6)
+    keys = [(bytes([n // 256, n % 256]), rng.choice([None, "http://a/", "http://b/"]), [rng.choice([1, 1, 1, 1, 2])]) for n in range(400)]
+    keys = [(k, u and u + str(n // 40), h if n % 3 else [1]) for n, (k, u, h) in enumerate(keys)]
+    order = sorted(("" if u is None else u[7], "" if u is None else u[8:], k, h) for k, u, h in keys)
+    order = [(x[0] or None, *x[1:]) for x in order]
+    want = {}
+    for at, (host, _, key, hashes) in enumerate(order):
+        sides = (reversed(order[:at]), order[at + 1 :])
+        want[key] = [next(((x[0], x[1], x[3]) for x in side if (x[0], x[3]) != (host, hashes)), None) for side in sides]
+    found = pages.partners(spark.createDataFrame(keys, "key binary, url string, hashes array<long>").repartition(3)).collect()
+    assert {bytes(r.key): [x and (x.host, x.path, x.hashes) for x in (r.prev, r.next)] for r in found} == want and len(found) == len(keys)
+
+
 def test_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):

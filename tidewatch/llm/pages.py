@@ -1,11 +1,14 @@
 """Main text of web pages by differencing with the page of the nearest URL.
 
 A page becomes lines, one per block element, without scripts, styles, forms and whatever its markup names as menu, header,
-footer, side column, notice, advert or comment. Pages are ordered by host and path; a page's partner is the neighbour of the same
-host whose path shares the longer prefix. The lines of both are aligned by longest common subsequence, and lines that both
+footer, side column, notice, advert or comment. Pages are ordered by host and path; a page's partner is, of the nearest pages of
+the same host whose lines differ, one on each side, the one whose path shares the longer prefix. The lines of both are aligned by longest common subsequence, and lines that both
 have are deleted. Lines inside an element that marks the page's article are never deleted: articles of one host share whole
-paragraphs, which belong to them. Differencing decides about all other lines, whether or not an article is marked. A partner that shares four
-fifths of a page's lines or more is a copy of it and says nothing about its frame, so nothing is deleted then.
+paragraphs, which belong to them. Differencing decides about all other lines, whether or not an article is marked.
+
+Pages of one host that stand next to one another and have the very same lines outside articles are copies and say nothing about
+their frame: they form a run, and the partner comes from the run before or after. Only such pages count as copies: of pages that
+differ in a line, what they share is deleted, however much it is.
 
 Only hashes of lines are sorted and paired, so no host, however large, is gathered anywhere.
 
@@ -18,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from bisect import bisect_left
+from collections.abc import Iterator
 from html.parser import HTMLParser
 from itertools import count
 from os.path import commonprefix
@@ -29,9 +33,6 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import arrow, table
 from tidewatch.session import written
 
-#: Share of a page's lines from which on the partner counts as a copy.
-COPY = 0.8
-
 _BLOCKS = set(
     "address article blockquote body caption dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html legend li main ol p pre section summary table tbody tfoot thead tr ul".split()
 )
@@ -170,8 +171,20 @@ def line_keys(pages: DataFrame) -> DataFrame:
     return arrow(_columns(pages), make, "key binary, url string, hashes array<long>").dropDuplicates(["key"])
 
 
+def _number_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted pages with `run`: the number, within their partition, of the run of pages with the same host and lines."""
+    last, run = None, -1
+    for batch in batches:
+        runs = []
+        for now in zip(batch.column("host").to_pylist(), batch.column("hashes").to_pylist()):
+            run += now != last
+            last = now
+            runs.append(run)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(runs, pa.int64())], names=[*batch.schema.names, "run"])
+
+
 def partners(keys: DataFrame) -> DataFrame:
-    """keys with `other`: the line hashes of the partner, null without one."""
+    """keys with `prev` and `next`: host, path and line hashes of the nearest pages in URL order whose host or lines differ."""
     spark = keys.sparkSession
     bare = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     host = F.lower(F.regexp_extract(bare, r"^([^/?#]*)", 1))
@@ -179,18 +192,29 @@ def partners(keys: DataFrame) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = keys.select("key", "hashes", F.when(F.col("url").isNull(), F.lit(None)).otherwise(host).alias("host"), path.alias("path"))
     ordered = ordered.repartitionByRange(n, "host", "path", "key").sortWithinPartitions("host", "path", "key")
-    ordered = written(ordered.withColumn("at", F.monotonically_increasing_id()), "page-order")
-    part = F.shiftright("at", 33).alias("part")
-    # One row per partition in one task.
-    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ordered.groupBy(part).agg(F.count("*").alias("rows")).withColumn("base", F.coalesce(F.sum("rows").over(ahead), F.lit(0))).select("part", "base")
-    numbered = ordered.withColumn("part", part).join(F.broadcast(offsets), "part")
-    numbered = numbered.withColumn("n", F.col("base") + F.col("at").bitwiseAND((1 << 33) - 1)).select("n", "key", "host", "path", "hashes")
-    beside = F.explode(F.array(F.struct((F.col("n") + 1).alias("n"), F.lit(True).alias("before")), F.struct((F.col("n") - 1).alias("n"), F.lit(False).alias("before"))))
-    near = numbered.select(beside.alias("to"), F.struct("host", "path", "hashes").alias("page"))
-    near = near.select("to.n", F.when(F.col("to.before"), F.col("page")).alias("prev"), F.when(~F.col("to.before"), F.col("page")).alias("next"))
-    near = near.groupBy("n").agg(F.first("prev", True).alias("prev"), F.first("next", True).alias("next"))
-    return numbered.join(near, "n", "left").select("key", "host", "path", "hashes", "prev", "next")
+    ordered = ordered.mapInArrow(_number_runs, "key binary, hashes array<long>, host string, path string, run long")
+    ordered = written(ordered.withColumn("at", F.monotonically_increasing_id()), "page-order").withColumn("part", F.shiftright("at", 33))
+    page = F.struct("host", "path", "hashes")
+    runs = written(ordered.groupBy("part", "run").agg(F.min_by(page, "at").alias("head"), F.max_by(page, "at").alias("tail")), "page-runs")
+    # One row per partition in one task: a partition's first run may go on with the last one of the partition before.
+    lines = F.struct(F.col("head.host").alias("host"), F.md5(F.array_join("head.hashes", ",").cast("binary")).alias("lines"))
+    borders = runs.groupBy("part").agg(F.count("*").alias("runs"), F.min_by(lines, "run").alias("first"), F.max_by(lines, "run").alias("last"))
+    order = Window.orderBy("part")
+    goes_on = F.coalesce(F.col("first").eqNullSafe(F.lag("last").over(order)), F.lit(False)).cast("long")
+    borders = borders.select("part", "runs", goes_on.alias("goes_on"))
+    ahead = F.coalesce(F.sum(F.col("runs") - F.col("goes_on")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    borders = borders.select("part", (ahead - F.col("goes_on")).alias("base"))
+    placed = runs.join(F.broadcast(borders), "part").withColumn("n", F.col("base") + F.col("run"))
+    whole = placed.groupBy("n").agg(F.min_by("head", "part").alias("head"), F.max_by("tail", "part").alias("tail"))
+    none = F.lit(None).cast(whole.schema["head"].dataType)
+    beside = F.explode(F.array(
+        F.struct((F.col("n") + 1).alias("n"), F.col("tail").alias("prev"), none.alias("next")),
+        F.struct((F.col("n") - 1).alias("n"), none.alias("prev"), F.col("head").alias("next")),
+    ))
+    near = whole.select(beside.alias("to")).groupBy("to.n").agg(F.first("to.prev", True).alias("prev"), F.first("to.next", True).alias("next"))
+    # Joined by the runs of partitions, so that no run of copies, however long, is one key.
+    near = placed.select("part", "run", "n").join(near, "n", "left").select("part", "run", "prev", "next")
+    return ordered.join(near, ["part", "run"]).select("key", "host", "path", "hashes", "prev", "next")
 
 
 def deletions(keys: DataFrame) -> DataFrame:
@@ -201,8 +225,7 @@ def deletions(keys: DataFrame) -> DataFrame:
         for host, path, own, prev, following in zip(*(batch.column(n).to_pylist() for n in ("host", "path", "hashes", "prev", "next"))):
             near = [x for x in (prev, following) if x and x["host"] == host]
             partner = max(near, key=lambda x: len(commonprefix([path, x["path"]])), default=None)
-            shared = shared_lines(own, partner["hashes"]) if partner else []
-            out.append(shared if len(shared) < COPY * len(own) else [])
+            out.append(shared_lines(own, partner["hashes"]) if partner else [])
         return {"key": batch.column("key"), "drop": out}
 
     return arrow(partners(keys), make, "key binary, drop array<int>").where("size(drop) > 0")
