@@ -435,6 +435,25 @@ def test_partners_of_copies(spark):
     assert {bytes(r.key): [x and (x.host, x.path, x.hashes) for x in (r.prev, r.next)] for r in found} == want and len(found) == len(keys)
 
 
+@pytest.mark.parametrize("html, lines", [
+    ("<div class='content with-sidebar'><p>a</p></div><div class='layout has-ads'>b</div><article class='post share-enabled'>c</article>", "a b c"),
+    ("<div class='site ads'>x</div><div id='cookie-notice'>x</div><p class='ad'>x</p><div role='navigation'>x</div><p>a", "a"),
+    ("<html><head><meta charset=utf-8><title>t</title><body><p>a</p>", "a"),
+    ("<html><head><title>t</title><div>a</div><p>b", "a b"),
+    ("<title>t</title><p>a", "a"),
+    ("<p class='ad'>x<p>a</p><p class='ad'>y<div>b</div>", "a b"),
+    ("<ul><li class='share'>x<li>a<li class='share'>y</ul>b", "a b"),
+    ("<div><span class='ad'>x<b>y</div>a", "a"),
+    ("<div class='ad'>x<div>y</div>z</div>a", "a"),
+    ("<table><tr><td class='ad'>x<td>a<tr class='ad'><td>y<tr><td>b</table>c", "a b c"),
+    ("<nav>x<article>a<aside>y</article>b", "a b"),
+    ("<article>a<b><p>b</b>c</article><div>d", "a bc d"),
+    ("<select><option>x<option>y</select>a<p>b<script>'</p>'</script>c", "a b c"),
+])
+def test_where_skipping_ends(html, lines):
+    assert " ".join(line for _, line in pages.page_lines(html)) == lines
+
+
 def test_longest_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):

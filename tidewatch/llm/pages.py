@@ -1,7 +1,8 @@
 """Main text of web pages by differencing with the page of the nearest URL.
 
 A page becomes lines, one per block element, without scripts, styles, forms and whatever its markup names as menu, header,
-footer, side column, notice, advert or comment. Pages are ordered by host and path; a page's partner is, of the nearest pages of
+footer, side column, notice, advert or comment: by its tag, or by a word of class, id or role that is such a name as a whole or
+in all its parts ("cookie-notice", not "with-sidebar"). Elements end where HTML ends them without an end tag. Pages are ordered by host and path; a page's partner is, of the nearest pages of
 the same host whose lines differ, one on each side, the one whose path shares the longer prefix. The lines of both are aligned by longest common subsequence, and lines that both
 have are deleted. Lines inside an element that marks the page's article are never deleted: articles of one host share whole
 paragraphs, which belong to them. Differencing decides about all other lines, whether or not an article is marked.
@@ -21,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from itertools import count
@@ -37,7 +39,7 @@ _BLOCKS = set(
     "address article blockquote body caption dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hr html legend li main ol p pre section summary table tbody tfoot thead tr ul".split()
 )
 _SKIPPED = set(
-    "head script style noscript template svg math canvas object iframe audio video nav header footer aside menu form button select option textarea input dialog".split()
+    "head title script style noscript template svg math canvas object iframe audio video nav header footer aside menu form button select option textarea input dialog".split()
 )
 _VOID = set("area base br col embed hr img input link meta source track wbr".split())
 #: Words in class, id or role that mark what is not the article.
@@ -45,6 +47,19 @@ _FRAME = set(
     "ad ads adv advert advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies footer header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo related search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget complementary contentinfo".split()
 )
 _ARTICLE = {"article", "main"}
+_IN_HEAD = set("base link meta noscript script style template title".split())
+#: Start tags that end an open element, and what they do not look beyond.
+_TABLE = {"table", "template", "html"}
+_ENDED = {
+    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select", "datalist"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}), "td": ({"td", "th"}, _TABLE | {"tr"}), "th": ({"td", "th"}, _TABLE | {"tr"}), "tr": ({"tr"}, _TABLE),
+    "tbody": ({"tbody", "thead", "tfoot", "caption"}, _TABLE), "thead": ({"tbody", "thead", "tfoot", "caption"}, _TABLE), "tfoot": ({"tbody", "thead", "tfoot", "caption"}, _TABLE),
+}
+#: Elements that hold others as a whole: no end tag from inside ends what is outside.
+_SCOPES = set("html table td th caption template object button".split())
+_ENDS_P = _BLOCKS - set("caption legend tbody td tfoot th thead tr body html".split()) | set("dialog footer header aside nav menu form".split())
+#: Elements that end tags of inline elements do not end.
+_SPECIAL = _BLOCKS | _SKIPPED | {"td", "th"}
 
 
 class _Lines(HTMLParser):
@@ -54,8 +69,10 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[bool, str]] = []
         self.text: list[str] = []
-        self.inside = self.depth = 0
-        self.skipped = ""
+        #: Open elements: the tag, and whether the element is skipped.
+        self.open: list[tuple[str, bool]] = []
+        self.counts: Counter[str] = Counter()
+        self.inside = self.skipped = 0
 
     def flush(self) -> None:
         line = " ".join("".join(self.text).split())
@@ -63,43 +80,57 @@ class _Lines(HTMLParser):
             self.lines.append((self.inside > 0, line))
         self.text = []
 
+    def leave(self, size: int) -> None:
+        """End the open elements after the first `size` ones."""
+        while len(self.open) > size:
+            tag, frame = self.open.pop()
+            self.counts[tag] -= 1
+            if not self.skipped and tag in _BLOCKS:
+                self.flush()
+            self.skipped -= frame
+            self.inside -= tag in _ARTICLE and not frame
+
+    def end(self, tags: set[str], beyond: set[str]) -> None:
+        """End the innermost element of `tags`, and what is open in it, unless one of `beyond` is nearer."""
+        if any(self.counts[tag] > 0 for tag in tags):
+            for at in range(len(self.open) - 1, -1, -1):
+                if self.open[at][0] in tags:
+                    return self.leave(at)
+                if self.open[at][0] in beyond:
+                    return None
+
     def handle_starttag(self, tag, attrs):
-        names = {w for key, value in attrs if key in ("class", "id", "role") and value for w in value.lower().replace("-", " ").replace("_", " ").split()}
-        frame = tag in _SKIPPED or bool(names & _FRAME) and tag not in ("html", "body", "main")
-        if self.skipped:
-            if tag in _ARTICLE and not frame and not self.inside and self.skipped not in _ARTICLE:
-                self.skipped = ""  # what was skipped was never closed
-            else:
-                self.depth += tag == self.skipped
-                return
-        if tag in _BLOCKS or tag in _SKIPPED:
-            self.flush()
-        elif tag == "br":
-            self.text.append(" ")
-        elif tag in ("td", "th"):
-            self.text.append(" ")
-        if frame:
-            if tag not in _VOID:
-                self.skipped, self.depth = tag, 1
-        elif tag in _ARTICLE:
-            self.inside += 1
+        words = {w for key, value in attrs if key in ("class", "id", "role") and value for w in value.lower().split()}
+        named = any(set(w.replace("_", "-").split("-")) <= _FRAME for w in words)
+        frame = tag in _SKIPPED or named and tag not in ("html", "body", "main")
+        if tag not in _IN_HEAD and tag != "head":
+            self.end({"head"}, set())
+        if tag in _ENDS_P:
+            self.end({"p"}, _SCOPES)
+        if tag in _ENDED:
+            self.end(*_ENDED[tag])
+        if self.skipped and tag in _ARTICLE and not frame and not self.inside and not any(f and t in _ARTICLE for t, f in self.open):
+            self.open = [(t, False) for t, _ in self.open]  # what was skipped was never closed
+            self.skipped = 0
+        if not self.skipped:
+            if tag in _BLOCKS or tag in _SKIPPED:
+                self.flush()
+            elif tag in ("br", "td", "th"):
+                self.text.append(" ")
+        if tag not in _VOID:
+            self.open.append((tag, frame))
+            self.counts[tag] += 1
+            self.skipped += frame
+            self.inside += tag in _ARTICLE and not frame
 
     def handle_endtag(self, tag):
-        if self.skipped:
-            if tag == self.skipped:
-                self.depth -= 1
-                if not self.depth:
-                    self.skipped = ""
-            elif tag in _ARTICLE and self.inside:  # the article ends; so does what was left open in it
-                self.skipped = ""
-            else:
-                return
-        if tag in _BLOCKS:
+        if not self.skipped and tag in _BLOCKS:
             self.flush()
-        if tag in _ARTICLE and self.inside and not self.skipped:
-            self.inside -= 1
+        self.end({tag}, _SCOPES if tag in _SPECIAL else _SPECIAL)
 
     def handle_data(self, data):
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self.end({"head"}, set())
         if not self.skipped:
             self.text.append(data)
 
