@@ -327,6 +327,17 @@ def test_licenses(spark, nothing):
     assert licenses.license_scan(nothing).count() == 0
 
 
+def test_templates_name_their_license(spark):
+    """Sentences of other licenses do not meet a template by its common words."""
+    texts = {
+        "released under the BSD license": "", "released under the Apache License": "apache", "released under the MIT license": "mit", "licensed under CC BY 4.0": "",
+        "licensed under CC BY-SA 4.0": "", "licensed under CC BY-NC 4.0": "cc-by-nc", "this work is licensed under the GNU free documentation license version 3": "",
+        "this source code form is subject to the terms of the Eclipse Public License": "", "this source code form is subject to the terms of the Mozilla Public License": "mpl",
+    }
+    frame = ready(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {list(texts)[r.doc_id]: r.labels for r in licenses.license_scan(frame).collect()} == texts
+
+
 def test_pseudonyms(spark):
     from pyspark.sql import functions as F
 

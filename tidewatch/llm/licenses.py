@@ -2,7 +2,7 @@
 
 Templates are the word sets of license notices. Text blocks are windows of WINDOW words at every STEP words, so that each run of
 WINDOW - STEP words lies whole in one of them. A block meets a template if it contains at least THRESHOLD of the template's
-words. The words are ordered by their frequency in the corpus, rare ones first; a block that meets a template of n words, of
+words, among them those that name the license. The words are ordered by their frequency in the corpus, rare ones first; a block that meets a template of n words, of
 which m are needed, has one of the n - m + 1 first of them (prefix filter), has at least m words (length filter), and the matching
 word's place leaves at least m words to match (positional filter). Surviving pairs are counted exactly.
 
@@ -45,6 +45,11 @@ TEMPLATES = [
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
 ]
 
+#: Words that name a license: a block without them does not meet a template of the label that has them.
+NAMING = {
+    "mit": {"mit"}, "apache": {"apache"}, "gpl": {"general", "public"}, "mpl": {"mozilla"}, "cc-by-nc": {"cc", "by", "nc"}, "cc-by": {"creative", "commons", "attribution"},
+}
+
 
 def _token_counts(docs: DataFrame, tokens: set[bytes]) -> dict[str, int]:
     """How often each template word stands in the corpus; one row per template word reaches the driver."""
@@ -129,11 +134,12 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
     rows, first = [], set()
     for number, (label, text) in enumerate(templates):
         own = sorted({ranks[w] for w in text.split()})
+        must = sorted(ranks[w] for w in NAMING.get(label, set()) & set(text.split()))
         need = math.ceil(threshold * len(own) - 1e-9)
         for place in range(len(own) - need + 1):
-            rows.append((own[place], place, number, label, len(own), need, own))
+            rows.append((own[place], place, number, label, len(own), need, own, must))
             first.add(words[own[place]])
-    prefixes = spark.createDataFrame(rows, "rank int, place int, template int, label string, length int, need int, own array<int>")
+    prefixes = spark.createDataFrame(rows, "rank int, place int, template int, label string, length int, need int, own array<int>, must array<int>")
     base = scan(docs, ranks, first, phrases, window, step)
     base = written(base.withColumn("rid", F.monotonically_increasing_id()), "license-blocks")
     blocks = base.select("rid", F.posexplode("blocks").alias("number", "block"))
@@ -142,6 +148,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
     pairs = tokens.join(F.broadcast(prefixes), "rank").where((F.col("block.size") >= F.col("need")) & (F.col("length") - F.col("place") >= F.col("need")))
     share = F.size(F.array_intersect("block.ranks", "own")) / F.col("length")
     pairs = pairs.where(F.size(F.array_intersect("block.ranks", "own")) >= F.col("need"))
+    pairs = pairs.where(F.size(F.array_except("must", "block.ranks")) == 0)
     found = pairs.groupBy("rid").agg(F.collect_set("label").alias("found"), F.max(share).alias("share"))
     labels = F.array_sort(F.array_union("base", F.coalesce("found", F.array().cast("array<string>"))))
     return base.join(found, "rid", "left").select(
