@@ -142,6 +142,7 @@ def score(
 
     Features are taken over the batch and the stored look-back of ``context``, with the stored
     whole-history numbers of ``base``, so they do not depend on how the stream is cut into batches.
+    Rule evidence does depend on it: ``members`` sees one batch only.
     """
     def handle(batch: DataFrame, number: int) -> None:
         seen = context() if context is not None else None
