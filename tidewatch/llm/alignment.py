@@ -34,7 +34,7 @@ from tidewatch.session import written
 #: Id pairs whose counts are sent to all tasks, at most (16 bytes each).
 FREQUENT = 1 << 17
 #: Windows that a worker remembers in each of two generations, and their most tokens.
-REMEMBERED = 60_000
+REMEMBERED = 100_000
 REMEMBERED_TOKENS = 48
 
 #: Bytes of text that are encoded in one call.
@@ -82,7 +82,8 @@ class Aligner:
             self.bytes_a[number] = bytes(alphabet[c] for c in entry) if known else entry.encode()
         self.bytes_b = [_piece_bytes(self.b.id_to_piece(i), self.b.is_byte(i)) for i in range(self.b.get_piece_size())]
         self.size_b = len(self.bytes_b)
-        self.lengths = [np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b)]
+        self.len_a, self.len_b = ([len(x) for x in t] for t in (self.bytes_a, self.bytes_b))
+        self.lengths = [np.array(x, np.int64) for x in (self.len_a, self.len_b)]
         self.marked = [np.array([x.startswith(b" ") for x in t]) for t in (self.bytes_a, self.bytes_b)]
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
@@ -91,25 +92,32 @@ class Aligner:
 
     def align(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, tuple[int, ...], str]:
         """Groups, linked pairs (as a * size_b + b) and the groups' text of two token sequences over the same bytes."""
-        of_a, of_b, size = self.bytes_a, self.bytes_b, self.size_b
+        size, len_a, len_b = self.size_b, self.len_a, self.len_b
+        if len(a) == 1:
+            base = a[0] * size
+            return 1, tuple([base + x for x in b]), f"{a[0]}|{','.join(map(str, b))}"
+        if len(b) == 1:
+            one = b[0]
+            return 1, tuple([x * size + one for x in a]), f"{','.join(map(str, a))}|{one}"
         i = j = first_i = first_j = 0
-        end_a, end_b = len(of_a[a[0]]), len(of_b[b[0]])
-        pairs, groups = [], []
+        ahead = len_a[a[0]] - len_b[b[0]]  # how far the end of A's token is beyond that of B's
+        pairs, groups, last = [], [], len(a) - 1
         while True:
             pairs.append(a[i] * size + b[j])
-            if end_a == end_b:
-                i, j = i + 1, j + 1
-                groups.append(",".join(map(str, a[first_i:i])) + "|" + ",".join(map(str, b[first_j:j])))
-                if i == len(a):
-                    return len(groups), tuple(pairs), ";".join(groups)
-                first_i, first_j = i, j
-                end_a, end_b = end_a + len(of_a[a[i]]), end_b + len(of_b[b[j]])
-            elif end_a < end_b:
+            if ahead < 0:
                 i += 1
-                end_a += len(of_a[a[i]])
-            else:
+                ahead += len_a[a[i]]
+            elif ahead > 0:
                 j += 1
-                end_b += len(of_b[b[j]])
+                ahead -= len_b[b[j]]
+            else:
+                left, right = a[first_i : i + 1], b[first_j : j + 1]
+                groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}" if i > first_i or j > first_j else f"{a[i]}|{b[j]}")
+                if i == last:
+                    return len(groups), tuple(pairs), ";".join(groups)
+                i = first_i = i + 1
+                j = first_j = j + 1
+                ahead = len_a[a[i]] - len_b[b[j]]
 
     def _miss(self, key):
         found = self.old.get(key)
