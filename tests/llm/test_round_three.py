@@ -206,7 +206,7 @@ def brute_alignment(rows, tokenizers):
     one = alignment.Aligner(*tokenizers)
     docs, held = [], Counter()
     for doc_id, text in rows:
-        tokens = one.encode([text])[0] if text else ([], [])
+        tokens = [x[0].tolist() for x in one.encode([text])] if text else ([], [])
         spans = []
         for ids, table in zip(tokens, (one.bytes_a, one.bytes_b)):
             at, out = 0, []
@@ -270,13 +270,36 @@ def test_alignment(spark, tokenizers, frequent):
 
 
 def test_window_memory_does_not_change_results(tokenizers, monkeypatch):
+    """With a memory of three windows, and texts one by one or together."""
     texts = [t for _, t in aligned_texts() if t]
     plain = alignment.Aligner(*tokenizers)
-    want = [plain.document(t.encode(), *plain.encode([t])[0]) for t in texts]
+    want = plain.documents(texts, plain.encode(texts))
     monkeypatch.setattr(alignment, "REMEMBERED", 3)
     short = alignment.Aligner(*tokenizers)
-    assert [short.document(t.encode(), *short.encode([t])[0]) for t in texts] == want
-    assert sum(x is not None for x in want) > 15
+    at = np.cumsum(want.n_pairs) - want.n_pairs
+    for n, text in enumerate(texts):
+        got, own = short.documents([text], short.encode([text])), slice(at[n], at[n] + want.n_pairs[n])
+        assert (got.groups[0], got.n_groups[0], got.n_links[0]) == (want.groups[n], want.n_groups[n], want.n_links[n])
+        assert got.pairs.tolist() == want.pairs[own].tolist() and got.times.tolist() == want.times[own].tolist()
+    assert sum(x is not None for x in want.groups) > 15
+
+
+def test_ranks_give_the_ids_of_the_vocabulary(tokenizers):
+    """Every character in several surroundings, and the texts above, by both libraries."""
+    one = alignment.Aligner(*tokenizers)
+    assert one.ranked is not None
+    texts = [f" a{c}b 1{c}2 {c}{c} .{c}!{c}'s\n{c} " for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000]
+    texts = texts[:0x3400] + texts[0x3400::9] + [f" {t}" for _, t in aligned_texts() if t]
+    assert [x.ids for x in one.a.encode_batch_fast(texts, add_special_tokens=False)] == [x.tolist() for x in one.encode([t[1:] for t in texts])[0]]
+
+
+def test_other_vocabularies_use_their_own_library(tokenizers):
+    import json
+
+    told = json.loads(tokenizers[0])
+    told["pre_tokenizer"]["add_prefix_space"] = True
+    other = alignment.Aligner(json.dumps(told), tokenizers[1])
+    assert other.ranked is None and other.encode(["x y"])[0][0].tolist() == alignment.Aligner(*tokenizers).encode(["x y"])[0][0].tolist()
 
 
 def test_byte_alphabet():

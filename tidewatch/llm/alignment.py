@@ -22,6 +22,7 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,11 @@ FREQUENT = 1 << 17
 REMEMBERED = 100_000
 REMEMBERED_TOKENS = 48
 
+# Fixed value: how byte-level pre-tokenizers cut a text.
+BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 #: Bytes of text that are encoded in one call.
-_CALL_BYTES = 1 << 19
+_CALL_BYTES = 1 << 20
 _SPACE_MARK = "▁"
 #: Distinct pairs that a task holds while counting.
 _HELD_PAIRS = 1 << 20
@@ -55,6 +59,22 @@ def _piece_bytes(piece: str, is_byte: bool) -> bytes:
     return bytes([int(piece[3:-1], 16)]) if is_byte else piece.replace(_SPACE_MARK, " ").encode()
 
 
+def _ranked(told: dict, entries: list[bytes]):
+    """The same encoder as ranks, several times as fast, for a plain byte-level BPE whose ids are in order of its merges; else None."""
+    model, before = told["model"], told.get("pre_tokenizer") or {}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model.get("merges", [])]
+    plain = told.get("normalizer") is None and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+    plain = plain and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    vocabulary, special = model["vocab"], {x["id"] for x in told.get("added_tokens", [])}
+    plain = plain and all(vocabulary.get(a + b) == 256 + n for n, (a, b) in enumerate(merges)) and len(merges) + 256 + len(special) == len(entries)
+    if not plain or any(n < 256 + len(merges) for n in special):
+        return None
+    import tiktoken
+
+    ranks = {entries[n]: n for n in range(256 + len(merges))}
+    return tiktoken.Encoding("a", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}) if len(ranks) == 256 + len(merges) else None
+
+
 @dataclass
 class Aligner:
     """Both tokenizers, the bytes of their tokens, and the windows aligned so far."""
@@ -82,80 +102,153 @@ class Aligner:
             self.bytes_a[number] = bytes(alphabet[c] for c in entry) if known else entry.encode()
         self.bytes_b = [_piece_bytes(self.b.id_to_piece(i), self.b.is_byte(i)) for i in range(self.b.get_piece_size())]
         self.size_b = len(self.bytes_b)
-        self.len_a, self.len_b = ([len(x) for x in t] for t in (self.bytes_a, self.bytes_b))
-        self.lengths = [np.array(x, np.int64) for x in (self.len_a, self.len_b)]
+        self.lengths = [np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b)]
+        self.starts = [np.cumsum(x) - x for x in self.lengths]
+        self.flat = [np.frombuffer(b"".join(t), np.uint8) for t in (self.bytes_a, self.bytes_b)]
+        self.written = [f"{n}{end}" for table, ends in ((self.bytes_a, ",|"), (self.bytes_b, ",;")) for n in range(len(table)) for end in ends]
+        self.ranked = _ranked(json.loads(self.json_text), self.bytes_a)
         self.marked = [np.array([x.startswith(b" ") for x in t]) for t in (self.bytes_a, self.bytes_b)]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        left = [x.ids for x in self.a.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
-        return list(zip(left, self.b.encode(texts, num_threads=1)))
-
-    def align(self, a: tuple[int, ...], b: tuple[int, ...]) -> tuple[int, tuple[int, ...], str]:
-        """Groups, linked pairs (as a * size_b + b) and the groups' text of two token sequences over the same bytes."""
-        size, len_a, len_b = self.size_b, self.len_a, self.len_b
-        if len(a) == 1:
-            base = a[0] * size
-            return 1, tuple([base + x for x in b]), f"{a[0]}|{','.join(map(str, b))}"
-        if len(b) == 1:
-            one = b[0]
-            return 1, tuple([x * size + one for x in a]), f"{','.join(map(str, a))}|{one}"
-        i = j = first_i = first_j = 0
-        ahead = len_a[a[0]] - len_b[b[0]]  # how far the end of A's token is beyond that of B's
-        pairs, groups, last = [], [], len(a) - 1
-        while True:
-            pairs.append(a[i] * size + b[j])
-            if ahead < 0:
-                i += 1
-                ahead += len_a[a[i]]
-            elif ahead > 0:
-                j += 1
-                ahead -= len_b[b[j]]
-            else:
-                left, right = a[first_i : i + 1], b[first_j : j + 1]
-                groups.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}" if i > first_i or j > first_j else f"{a[i]}|{b[j]}")
-                if i == last:
-                    return len(groups), tuple(pairs), ";".join(groups)
-                i = first_i = i + 1
-                j = first_j = j + 1
-                ahead = len_a[a[i]] - len_b[b[j]]
-
-    def _miss(self, key):
-        found = self.old.get(key)
-        if found is None:
-            found = self.align(*key)
-        if len(key[0]) + len(key[1]) <= REMEMBERED_TOKENS:
-            if len(self.young) >= REMEMBERED:
-                self.old, self.young = self.young, {}
-            self.young[key] = found
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The ids of all texts, by A and by B."""
+        if self.ranked is not None:
+            left = [self.ranked.encode_to_numpy(" " + x, disallowed_special=()) for x in texts]
+        else:
+            left = [np.array(x.ids, np.uint32) for x in self.a.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
+        return left, [np.array(x, np.uint32) for x in self.b.encode(texts, num_threads=1)]
+
+    def told(self, side: int, ids: np.ndarray) -> np.ndarray:
+        """The bytes of tokens, joined."""
+        lengths = self.lengths[side][ids]
+        ends = np.cumsum(lengths)
+        return self.flat[side][np.repeat(self.starts[side][ids] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def whole(self, texts: list[str], tokens: tuple[list[np.ndarray], list[np.ndarray]]) -> np.ndarray:
+        """Which texts have tokens that give back space and text, on both sides."""
+        want = [b" " + t.encode() if t else b"" for t in texts]
+        sizes = np.array([len(w) for w in want], np.int64)
+        good = sizes > 0
+        for side in (0, 1):
+            good &= np.array([self.lengths[side][x].sum() for x in tokens[side]], np.int64) == sizes
+        for side in (0, 1):
+            some = np.flatnonzero(good)
+            if len(some):
+                text = np.frombuffer(b"".join([want[n] for n in some]), np.uint8)
+                wrong = self.told(side, np.concatenate([tokens[side][n] for n in some])) != text
+                good[some] &= np.add.reduceat(wrong, np.cumsum(sizes[some]) - sizes[some], dtype=np.int64) == 0
+        return good
+
+    def align(self, windows: list[tuple[tuple[int, ...], tuple[int, ...]]]) -> list[tuple[int, tuple[int, ...], str]]:
+        """Per window, two token sequences over the same bytes: groups, linked pairs (as a * size_b + b), and the groups' text.
+
+        Between two neighbouring ends of any tokens lies one link: that of the tokens which cover the bytes there.
+        """
+        n = [np.fromiter((len(w[side]) for w in windows), np.int64, len(windows)) for side in (0, 1)]
+        ids = [np.fromiter(chain.from_iterable(w[side] for w in windows), np.int64, int(n[side].sum())) for side in (0, 1)]
+        ends = [np.cumsum(self.lengths[side][ids[side]]) for side in (0, 1)]
+        places = np.union1d(*ends)
+        in_a, in_b = (np.searchsorted(e, places) for e in ends)
+        pairs = (ids[0][in_a] * self.size_b + ids[1][in_b]).tolist()
+        shared = np.intersect1d(*ends, assume_unique=True)
+        of = [np.searchsorted(shared, e) for e in ends]
+        last = [shared[g] == e for g, e in zip(of, ends)]
+        window = np.repeat(np.arange(len(windows)), n[0])
+        links = np.cumsum(np.bincount(window[in_a], minlength=len(windows))).tolist()
+        groups = np.bincount(window[last[0]], minlength=len(windows)).tolist()
+        # The text: of each group the tokens of A, then those of B, each with what follows it.
+        order = np.argsort(np.concatenate((2 * of[0], 2 * of[1] + 1)), kind="stable")
+        written = np.concatenate((2 * ids[0] + last[0], 2 * (len(self.bytes_a) + ids[1]) + last[1]))[order]
+        parts = list(map(self.written.__getitem__, written.tolist()))
+        stops = np.cumsum(n[0] + n[1]).tolist()
+        out, from_link, from_part = [], 0, 0
+        for count, to_link, to_part in zip(groups, links, stops):
+            out.append((count, tuple(pairs[from_link:to_link]), "".join(parts[from_part:to_part])[:-1]))
+            from_link, from_part = to_link, to_part
+        return out
+
+    def windows(self, keys: list[tuple[tuple[int, ...], tuple[int, ...]]]) -> list[tuple[int, tuple[int, ...], str]]:
+        """The alignments of different windows, remembered by their pairs of id tuples."""
+        young, old = self.young.get, self.old.get
+        found = [young(k) or old(k) for k in keys]
+        missing = [n for n, x in enumerate(found) if x is None]
+        if missing:
+            for n, x in zip(missing, self.align([keys[n] for n in missing])):
+                found[n] = x
+        if len(self.young) >= REMEMBERED:
+            self.old, self.young = self.young, {}
+        for key, x in zip(keys, found):
+            if len(self.young) < REMEMBERED and len(key[0]) + len(key[1]) <= REMEMBERED_TOKENS:
+                self.young[key] = x
         return found
 
-    def document(self, text: bytes, a: list[int], b: list[int]):
-        """(n_groups, pairs, groups' text) of a document, or None if the tokens do not give back its bytes."""
-        whole = b" " + text
-        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
-            return None
-        ids_a, ids_b = np.array(a), np.array(b)
+    def documents(self, texts: list[str], tokens: tuple[list[np.ndarray], list[np.ndarray]]) -> Documents:
+        """Align the token sequences of several texts; those whose tokens do not give back space and text have none."""
+        out, at = Documents(len(texts)), np.flatnonzero(self.whole(texts, tokens))
+        if not len(at):
+            return out
+        n = [np.array([len(side[d]) for d in at], np.int64) for side in tokens]
+        ids = [np.concatenate([side[d] for d in at]).astype(np.int64) for side in tokens]
+        # Both sides of a document have the same bytes, so positions over all documents agree too.
         cuts, ends = [], []
-        for ids, lengths, marked in zip((ids_a, ids_b), self.lengths, self.marked):
-            at = np.flatnonzero(marked[ids[1:]])  # the last token before a marked one
-            cuts.append(at + 1)
-            ends.append(np.cumsum(lengths[ids])[at])
-        _, in_a, in_b = np.intersect1d(*ends, assume_unique=True, return_indices=True)
-        cuts_a, cuts_b = cuts[0][in_a].tolist(), cuts[1][in_b].tolist()
-        a, b = tuple(a), tuple(b)
-        n_groups, pairs, groups, known = 0, [], [], self.young.get
-        from_a = from_b = 0
-        for to_a, to_b in zip([*cuts_a, len(a)], [*cuts_b, len(b)]):
-            key = a[from_a:to_a], b[from_b:to_b]
-            window = known(key)
-            if window is None:
-                window = self._miss(key)
-                known = self.young.get
-            n_groups += window[0]
-            pairs += window[1]
-            groups.append(window[2])
-            from_a, from_b = to_a, to_b
-        return n_groups, pairs, ";".join(groups)
+        for side in (0, 1):
+            last = np.append(self.marked[side][ids[side][1:]], True)  # before a marked token
+            last[np.cumsum(n[side]) - 1] = True  # a document's end
+            cuts.append(np.flatnonzero(last) + 1)
+            ends.append(np.cumsum(self.lengths[side][ids[side]])[cuts[side] - 1])
+        _, *inside = np.intersect1d(*ends, assume_unique=True, return_indices=True)
+        stops = [c[i] for c, i in zip(cuts, inside)]
+        starts = [np.concatenate(([0], s[:-1])) for s in stops]
+        # Equal windows of this call are found by a hash of their ids, so each is looked up once.
+        hashes = np.zeros(len(stops[0]), np.uint64)
+        for side in (0, 1):
+            place = np.arange(len(ids[side])) - np.repeat(starts[side], stops[side] - starts[side])
+            hashes += np.add.reduceat(_mixed((ids[side] | (side << 24) | place << 25).astype(np.uint64)), starts[side])
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        keys = zip(*(_tuples(ids[side], starts[side][first], stops[side][first]) for side in (0, 1)))
+        known = self.windows(list(keys))
+        # Counts of windows to counts of documents.
+        windows = np.searchsorted(stops[0], np.cumsum(n[0]))  # each document's last window
+        of = np.repeat(np.arange(len(at)), np.diff(np.concatenate(([-1], windows))))
+        each_links = np.array([len(w[1]) for w in known], np.int64)
+        groups, links = np.array([w[0] for w in known], np.int64)[which], each_links[which]
+        out.n_a[at], out.n_b[at] = n
+        out.n_groups[at], out.n_links[at] = (np.bincount(of, x, len(at)).astype(np.int64) for x in (groups, links))
+        each = np.fromiter(chain.from_iterable([w[1] for w in known]), np.int64, int(each_links.sum()))
+        pairs = each[np.repeat((np.cumsum(each_links) - each_links)[which] - (np.cumsum(links) - links), links) + np.arange(int(links.sum()))]
+        limit = len(self.bytes_a) * self.size_b
+        found, out.times = np.unique(np.repeat(of, links) * limit + pairs, return_counts=True)
+        out.pairs = found % limit
+        out.n_pairs[at] = np.bincount(found // limit, minlength=len(at))
+        texts_of = list(map([w[2] for w in known].__getitem__, which.tolist()))
+        begin = 0
+        for doc, end in zip(at.tolist(), (windows + 1).tolist()):
+            out.groups[doc] = ";".join(texts_of[begin:end])
+            begin = end
+        return out
+
+
+class Documents:
+    """Per text: counts, the groups' text (None without tokens); then all texts' distinct linked pairs and how often each occurs."""
+
+    def __init__(self, size: int):
+        self.n_a, self.n_b, self.n_groups, self.n_links, self.n_pairs = (np.zeros(size, np.int64) for _ in range(5))
+        self.groups: list[str | None] = [None] * size
+        self.pairs = self.times = np.array([], np.int64)
+
+
+def _tuples(ids: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, ...]]:
+    """The ids from each start to its stop."""
+    lengths = stops - starts
+    ends = np.cumsum(lengths)
+    flat = ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])].tolist()
+    return [tuple(flat[i:j]) for i, j in zip((ends - lengths).tolist(), ends.tolist())]
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """Well-spread 64-bit numbers, one for each number."""
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        values = (values ^ (values >> np.uint64(shift))) * np.uint64(factor)
+    return values ^ (values >> np.uint64(31))
 
 
 #: Of this process: what a worker has aligned serves its later tasks.
@@ -194,19 +287,12 @@ def aligned(docs: DataFrame, tokenizers: tuple[str, bytes]) -> DataFrame:
     def make(batch: pa.RecordBatch) -> dict:
         aligner = _aligner(json_text, model)
         texts = [x or "" for x in batch.column("text").to_pylist()]
-        out: dict[str, list] = {n: [] for n in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times")}
-        for start, end in _calls(texts):
-            some = texts[start:end]
-            for text, (a, b) in zip(some, aligner.encode(some)):
-                found = aligner.document(text.encode(), a, b) if text else None
-                if found is None:
-                    a, b, found = [], [], (0, [], None)
-                pairs, times = np.unique(np.array(found[1], np.int64), return_counts=True)
-                digest = "" if found[2] is None else hashlib.sha256(found[2].encode()).hexdigest()
-                row = (len(a), len(b), found[0], len(found[1]), digest, pairs, times)
-                for name, value in zip(out, row):
-                    out[name].append(value)
-        return {n: batch.column(n) for n in ("rid", "doc_id")} | out
+        found = [aligner.documents(some, aligner.encode(some)) for some in (texts[i:j] for i, j in _calls(texts))]
+        joined = {n: np.concatenate([getattr(d, n) for d in found]) for n in ("n_a", "n_b", "n_groups", "n_links", "n_pairs", "pairs", "times")} if found else {}
+        places = pa.array(np.concatenate(([0], np.cumsum(joined.pop("n_pairs", [])))), pa.int32())
+        out = {n: pa.ListArray.from_arrays(places, pa.array(joined.pop(n, []), kind)) for n, kind in (("pairs", pa.int64()), ("times", pa.int32()))}
+        out["groups_sha256"] = ["" if g is None else hashlib.sha256(g.encode()).hexdigest() for d in found for g in d.groups]
+        return {n: batch.column(n) for n in ("rid", "doc_id")} | {n: joined.get(n, []) for n in ("n_a", "n_b", "n_groups", "n_links")} | out
 
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "rid long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<int>"
