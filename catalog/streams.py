@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.common import logs, shown, with_ctes
-from catalog.detection import ALERTS_CTE
+from catalog.detection import ALERTS_CTE, RECENT_CTE
 from catalog.ingestion import COMBINED_CTE, combined_lines
+from catalog.models import ISOLATION, dataset
 from catalog.scoring import SCORES_CTE, decide, members
 from tidewatch.operators import rules as R
 from tidewatch.operators import features as E
+from tidewatch.operators import forest as I
+from tidewatch.operators import scoring as S
+from tidewatch.schemas import FEATURES
 from tidewatch.session import prepare, shared_folder
 from tidewatch.sources.adapter import requests, with_data
+from tidewatch.sources.tail import tail_lines
 from tidewatch.streaming import jobs as J
 
 
@@ -33,6 +38,39 @@ def _ingest(spark, folder):
         F.count(F.lit(1)).alias("logs"), F.count_distinct("id").alias("ids"), F.count("method").alias("with_method"))
 
 
+class _Appender:
+    """Appends the lines of each partition to a log file of its own, as that many web servers would."""
+
+    def __init__(self, folder: str, step: int):
+        self.folder, self.step = folder.removeprefix("file:"), step
+
+    def __call__(self, rows) -> None:
+        from pathlib import Path
+
+        from pyspark import TaskContext
+
+        file = Path(self.folder) / f"app-{TaskContext.get().partitionId()}.log"
+        file.parent.mkdir(parents=True, exist_ok=True)
+        done = file.with_name(f".{file.name}-{self.step}")  # a repeated task appends nothing
+        if not done.exists():
+            with file.open("a", encoding="utf-8") as out:
+                out.writelines(f"{row.value}\n" for row in rows)
+            done.touch()
+
+
+def _tail(spark, folder):
+    """Files that grow in three steps; after each the stream is started again and takes what is new."""
+    source, table, progress = (shared_folder(spark, n) for n in ("growing", "raw-logs", "cp"))
+    lines = combined_lines(spark, folder).select("value", F.pmod(F.xxhash64("value"), F.lit(3)).alias("step"))
+    for step in range(3):
+        lines.filter(F.col("step") == step).repartition(3).foreachPartition(_Appender(source, step))
+        growing = tail_lines(spark, source, "app-*.log", bytes_per_task=100_000)
+        J.ingest(growing, table, progress, "apache_combined").awaitTermination()
+    stored = spark.read.parquet(table)
+    return stored.groupBy(F.col("date").cast("string").alias("date")).agg(
+        F.count(F.lit(1)).alias("logs"), F.count_distinct("id").alias("ids"), F.count("method").alias("with_method"))
+
+
 def _failed(spark, folder):
     """Lines that a stream could not parse, kept in full."""
     source, table = shared_folder(spark, "lines"), shared_folder(spark, "raw-logs")
@@ -49,15 +87,18 @@ def _alert_ids(spark, folder):
     return spark.read.parquet(table).agg(F.count(F.lit(1)).alias("alerts"), F.count_distinct("alert_id").alias("ids"))
 
 
+_ALERT_COLUMNS = [
+    "window_start", "window_end", "alert_type", "severity", "ip", "key_endpoint", "key_user_agent", "related_logs",
+    "unique_endpoints", "average_response_ms", "hours_active", "description",
+]
+
+
 def _windowed(window, slide):
     def run(spark, folder):
         table = shared_folder(spark, "alerts")
         found = J.windowed_alerts(log_stream(spark, folder), window, slide, "2 hours")
         J.store_alerts(found, table, shared_folder(spark, "cp")).awaitTermination()
-        stored = spark.read.parquet(table)
-        return shown(stored.select(
-            "window_start", "window_end", "alert_type", "severity", "ip", "key_endpoint", "key_user_agent", "related_logs",
-            "unique_endpoints", "average_response_ms", "hours_active", "description"))
+        return shown(spark.read.parquet(table).select(_ALERT_COLUMNS))
 
     return run
 
@@ -91,6 +132,56 @@ def _score(spark, folder):
     return shown(spark.read.parquet(table).select("log_id", "rule_score", "final_score", "severity", "triggered_rules"))
 
 
+def _in_steps(spark, folder, steps=5):
+    """The logs as a stream of so many batches, cut at any second."""
+    source = shared_folder(spark, "steps")
+    rows = logs(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    low, high = rows.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    step = F.floor(F.lit(steps) * (F.unix_micros("timestamp") - low) / (high - low + 1))
+    for number in range(steps):
+        rows.filter(step == number).coalesce(1).write.mode("append").parquet(source)
+    return rows, spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+
+
+def _scored_in_steps(spark, folder, decided=None):
+    """Scores of five batches, with profiles stored by a batch: (all logs, profiles, store)."""
+    rows, stream = _in_steps(spark, folder)
+    store, profiles = shared_folder(spark, "scored"), shared_folder(spark, "profiles")
+    E.store_profiles(rows, profiles)
+    known = E.load_profiles(spark, profiles)
+    J.score_closed(stream, store, shared_folder(spark, "cp"), decided or decide, known, "1 day", "2 hours").awaitTermination()
+    return rows, known, store
+
+
+def _score_batches(spark, folder):
+    _, _, store = _scored_in_steps(spark, folder)
+    return shown(spark.read.parquet(f"{store}/scores").select("log_id", "rule_score", "final_score", "severity", "triggered_rules"))
+
+
+def _score_model(spark, folder):
+    """A stored isolation forest over five batches against the same forest over all logs at once."""
+    path = shared_folder(spark, "isolation")
+    data = dataset(spark, folder)
+    I.save_isolation(I.fit_isolation(data.filter("label = 0"), FEATURES, ISOLATION), spark, path)
+    decided = J.model_decisions(spark, path)
+    rows, _, store = _scored_in_steps(spark, folder, decided)
+    found = spark.read.parquet(f"{store}/scores").select("log_id", F.struct("rule_score", "final_score", "severity", "triggered_rules").alias("stream"))
+    alerts = J.window_alerts(rows, "1 day")
+    batch = S.hybrid_scores(decided(E.extract_features(rows)), J.windowed_alert_logs(rows, alerts, "1 day"))
+    both = found.join(batch.select("log_id", F.struct("rule_score", "final_score", "severity", "triggered_rules").alias("batch")), "log_id")
+    near = F.abs(F.col("stream.final_score") - F.col("batch.final_score")) < 0.00011
+    return both.agg(
+        F.count(F.lit(1)).alias("logs"), F.count_if(near).alias("same_score"), F.count_if(F.col("stream.rule_score") == F.col("batch.rule_score")).alias("same_rule_score"),
+        F.count_if(F.col("stream.triggered_rules") == F.col("batch.triggered_rules")).alias("same_rules"))
+
+
+def _panes(spark, folder):
+    table = shared_folder(spark, "alerts")
+    found = J.pane_alerts(log_stream(spark, folder), "2 days", "1 day", "2 hours")
+    J.store_alerts(found, table, shared_folder(spark, "cp")).awaitTermination()
+    return shown(spark.read.parquet(table).select(_ALERT_COLUMNS))
+
+
 def _metrics(spark, folder):
     table = shared_folder(spark, "metrics")
     J.publish_metrics(J.status_metrics(log_stream(spark, folder)), table, shared_folder(spark, "cp"), None).awaitTermination()
@@ -99,6 +190,7 @@ def _metrics(spark, folder):
 
 QUERIES = {
     "stream_ingest_lines": _ingest,
+    "stream_tail_growing_file": _tail,
     "stream_alerts_tumbling": _windowed("1 day", None),
     "stream_alerts_sliding": _windowed("2 days", "1 day"),
     "stream_sliding_alert_ids": _alert_ids,
@@ -106,6 +198,9 @@ QUERIES = {
     "stream_alert_logs": _window_logs,
     "stream_deduplicate": _dedup,
     "stream_scores": _score,
+    "stream_scores_batches": _score_batches,
+    "stream_scores_model": _score_model,
+    "stream_alerts_panes": _panes,
     "stream_metrics": _metrics,
 }
 
@@ -125,10 +220,21 @@ WHERE ws + INTERVAL {days} DAY <= (SELECT max(timestamp) FROM logs) - INTERVAL 2
     return with_ctes(body, cte + "alert_rows AS" + alert_part + ")")
 
 
+# Scores with the alerts of whole days; logs of days that the newest log is two hours beyond.
+_DAILY_ALERTS_CTE = (
+    ALERTS_CTE.replace(RECENT_CTE, "recent AS (SELECT *, date_trunc('day', timestamp) AS ws FROM logs)")
+    .replace("SELECT '", "SELECT ws, '").replace("GROUP BY ip", "GROUP BY ws, ip").replace("ON t.alert_type", "ON t.ws = a.ws AND t.alert_type")
+)
+_DAILY_SCORES_CTE = SCORES_CTE.replace(ALERTS_CTE, _DAILY_ALERTS_CTE)
+_CLOSED = "timestamp < date_trunc('day', (SELECT max(timestamp) FROM logs) - INTERVAL 2 HOUR)"
+
+_INGESTED = with_ctes(
+    """SELECT strftime(timestamp, '%Y-%m-%d') AS date, count(*) AS logs, count(*) AS ids, count(method) AS with_method
+FROM apache WHERE parsed GROUP BY 1""", COMBINED_CTE)
+
 ORACLE = {
-    "stream_ingest_lines": with_ctes(
-        """SELECT strftime(timestamp, '%Y-%m-%d') AS date, count(*) AS logs, count(*) AS ids, count(method) AS with_method
-FROM apache WHERE parsed GROUP BY 1""", COMBINED_CTE),
+    "stream_ingest_lines": _INGESTED,
+    "stream_tail_growing_file": _INGESTED,
     "stream_alerts_tumbling": _windowed_sql(1, 1),
     "stream_alerts_sliding": _windowed_sql(2, 1),
     "stream_sliding_alert_ids": "SELECT count(*) AS alerts, count(*) AS ids FROM (" + _windowed_sql(2, 1) + ")",
@@ -141,6 +247,11 @@ FROM apache WHERE parsed GROUP BY 1""", COMBINED_CTE),
 WHERE n >= m AND date_trunc('day', timestamp) + INTERVAL 1 DAY <= (SELECT max(timestamp) FROM logs) - INTERVAL 2 HOUR"""),
     "stream_deduplicate": with_ctes("SELECT id, ip, endpoint FROM logs"),
     "stream_scores": with_ctes("SELECT log_id, rule_score, final_score, severity, triggered_rules FROM scores", SCORES_CTE),
+    "stream_scores_batches": with_ctes(
+        f"SELECT log_id, rule_score, final_score, severity, triggered_rules FROM scores JOIN logs ON id = log_id WHERE {_CLOSED}", _DAILY_SCORES_CTE),
+    "stream_scores_model": with_ctes(
+        f"SELECT count(*) AS logs, count(*) AS same_score, count(*) AS same_rule_score, count(*) AS same_rules FROM logs WHERE {_CLOSED}"),
+    "stream_alerts_panes": _windowed_sql(2, 1),
     "stream_metrics": with_ctes(
         "SELECT method, status, count(*) AS requests, strftime(max(timestamp), '%Y-%m-%d %H:%M:%S.%f') AS latest FROM logs GROUP BY 1, 2"),
 }

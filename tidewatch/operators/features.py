@@ -9,9 +9,10 @@ or endpoint that holds a large part of all rows is combined on the map side and,
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -268,6 +269,76 @@ def extract_features(
     )
 
 
+@dataclass(frozen=True)
+class Profiles:
+    """What a stream needs of the whole history, stored by a batch: its five numbers, and tables of addresses and endpoints.
+
+    addresses: (ip, _ip_median); endpoints and pairs: the columns of ``endpoint_profiles`` by endpoint and by (endpoint, method).
+    """
+
+    base: Baselines
+    addresses: DataFrame
+    endpoints: DataFrame
+    pairs: DataFrame
+
+
+def store_profiles(logs: DataFrame, folder: str, as_of: Column | None = None) -> Baselines:
+    """Compute the profiles of all logs and write them below ``folder``, replacing older ones."""
+    base = baselines(logs, as_of)
+    rows = keyed(filled_logs(logs, base.median_ms, as_of))
+    counts = rows.groupBy("ip", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts.groupBy("ip").agg(F.expr("percentile(n, 0.5D, n)").alias("_ip_median")).write.mode("overwrite").parquet(f"{folder}/addresses")
+    both = endpoint_profiles(rows)
+    both.select("endpoint", "method", "_pair_rows").write.mode("overwrite").parquet(f"{folder}/pairs")
+    whole = [c for c in both.columns if c not in ("endpoint", "method", "_pair_rows")]
+    both.groupBy("endpoint").agg(*[F.any_value(c).alias(c) for c in whole]).write.mode("overwrite").parquet(f"{folder}/endpoints")
+    logs.sparkSession.createDataFrame([(json.dumps(asdict(base)),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/numbers")
+    return base
+
+
+def load_profiles(spark: SparkSession, folder: str) -> Profiles:
+    base = Baselines(**json.loads(spark.read.text(f"{folder}/numbers").first()["value"]))
+    return Profiles(base, *[spark.read.parquet(f"{folder}/{name}") for name in ("addresses", "endpoints", "pairs")])
+
+
+def address_state(rows: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """(ip, last_at, rows): an address's newest request and its requests so far, counted up to 60; of the addresses in ``rows``."""
+    now = keyed(rows).groupBy("ip").agg(F.max("at").alias("last_at"), F.count(F.lit(1)).alias("rows"))
+    if before is not None:
+        known = before.select("ip", F.col("last_at").alias("_last"), F.col("rows").alias("_rows"))
+        now = now.join(known, "ip", "left").select("ip", F.greatest("last_at", "_last").alias("last_at"), (F.col("rows") + F.coalesce("_rows", F.lit(0))).alias("rows"))
+    return now.withColumn("rows", F.least("rows", F.lit(_KEPT + 1)))
+
+
+def extract_later_features(logs: DataFrame, profiles: Profiles, state: DataFrame | None = None) -> DataFrame:
+    """The features of ``extract_features`` for logs that come after those of ``state`` and fill whole 5-minute buckets.
+
+    No older log is read: an address's newest request and its count come from ``state``, everything else that is older
+    from ``profiles``. Addresses and endpoints that the profiles lack are ordinary for themselves and as rare as can be.
+    """
+    names = ["id", "timestamp", "ip", "method", "endpoint", "status", "response_time_ms", "data"]
+    rows = keyed(filled_logs(logs, profiles.base.median_ms)).select(*names, "at", "bucket")
+    buckets = ip_buckets(rows).drop("_ip_median").join(profiles.addresses, "ip", "left")
+    buckets = buckets.withColumn("_ip_median", F.coalesce("_ip_median", F.col("requests_per_ip_5min").cast("double")))
+    if state is None:
+        buckets = buckets.withColumn("_rows_before", F.lit(0))
+    else:
+        known = state.select("ip", "last_at", F.col("rows").alias("_rows_before"))
+        buckets = buckets.join(known, "ip", "left").withColumns({
+            "_before_at": F.coalesce("_before_at", F.when(F.col("last_at") < F.col("bucket"), F.col("last_at"))), "_rows_before": F.coalesce("_rows_before", F.lit(0)),
+        }).drop("last_at")
+    moments = request_gaps(rows, buckets).join(first_rows(rows), _MOMENT, "left")
+    joined = rows.join(moments, _MOMENT).join(profiles.endpoints, "endpoint", "left").join(profiles.pairs, ["endpoint", "method"], "left")
+    joined = joined.withColumns({
+        "endpoint_entropy": F.coalesce("endpoint_entropy", entropy(F.col("endpoint"))),
+        "_endpoint_mean": F.coalesce("_endpoint_mean", "response_time_ms"),
+        "_endpoint_rows": F.coalesce("_endpoint_rows", F.lit(0)), "_pair_rows": F.coalesce("_pair_rows", F.lit(0)),
+    })
+    derived = {**request_features(), **address_features(profiles.base), **endpoint_features(profiles.base)}
+    derived["requests_per_minute"] = F.least(derived["requests_per_minute"] + F.col("_rows_before"), F.lit(_KEPT + 1.0))
+    return joined.select(F.col("id").alias("log_id"), "timestamp", "data", *[derived[name].alias(name) for name in FEATURES])
+
+
 def isolation_features(columns: list[str]) -> list[str]:
     """The feature columns present, in report order."""
     return [name for name in FEATURES if name in columns]

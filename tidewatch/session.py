@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders handed out since the innermost ``scratch`` began.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -40,7 +46,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     top = f"{_root(spark)}/tidewatch-{context.applicationId}"
     path = context._jvm.org.apache.hadoop.fs.Path(top)
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
-    return f"{top}/{name}-{uuid.uuid4().hex}"
+    folder = f"{top}/{name}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(folder)
+    return folder
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -49,6 +58,29 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return sorted(f.getPath().getName() for f in system.listStatus(place)) if system.exists(place) else []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, all folders that shared_folder gives meanwhile; nothing may read them afterwards.
+
+    For what runs again and again in one application: batches of streams, appends.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for folder in made:
+            discard(spark, folder)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write to the shared folder and read back, so a lost executor costs no recompute."""
     spark = df.sparkSession
