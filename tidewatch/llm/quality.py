@@ -4,7 +4,8 @@ A document is a bag of passages, windows of a fixed number of bytes over its who
 byte classes and of adjacent class pairs, the diversity of its byte 4-grams and its length, and encoded by one tanh layer.
 Gated attention, softmax over w . (tanh(V h) * sigmoid(U h)), weighs the passages, and a logistic unit scores the weighted
 representation. All weights are learned together from document labels, by Adam, on at most `sample` labelled documents (those
-with the smallest hash of their id); scoring reads every text whole. Labels, language, source and id never enter a score.
+with the smallest hash of their id, one text of each) and a bounded number of passages of each; scoring reads every text whole. Labels,
+language, source and id never enter a score.
 
 Defined results: null text counts as empty; an empty text is one passage without bytes and gets a score like any other. Labels
 that are null, other than 0 and 1 or contradictory for one id are not learned from. Without labels of both classes every score
@@ -24,6 +25,8 @@ from tidewatch.llm.common import arrow, raw_texts, table
 PASSAGE_BYTES = 512
 #: Labelled documents that the classifier is fitted on, at most.
 SAMPLE = 6000
+#: Passages of a document that it is fitted on, at most.
+FIT_PASSAGES = 64
 THRESHOLD = 0.3
 HIDDEN, ATTENTION = 24, 12
 EPOCHS, RATE, BATCH_BAGS, SEED = 40, 0.01, 256, 7
@@ -131,21 +134,26 @@ def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
-    """Fit on labelled documents that are not held out. The sample's passage features, bounded by `sample`, reach the driver."""
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most_passages: int = FIT_PASSAGES) -> dict:
+    """Fit on labelled documents that are not held out.
+
+    Features of at most `sample` texts, and of at most `most_passages` passages of each, spread evenly over it, reach the driver. Of
+    several texts of one id the one with the smallest hash is taken (of equal hashes the smallest text), so reruns fit on the same texts.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("y")).where("y in (0, 1)")
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.min("y").alias("y"), F.max("y").alias("most")).where("y = most")
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "y")
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.join(F.broadcast(chosen), "id")  # at most `sample` rows of two numbers
+    rows = rows.groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")).select("id", "y", "one.text")
 
     def make(batch: pa.RecordBatch) -> dict:
         x, counts = passages(raw_texts(batch))
-        parts = np.split(x, np.cumsum(counts)[:-1])
+        parts = [p[np.arange(min(len(p), most_passages)) * len(p) // min(len(p), most_passages)] for p in np.split(x, np.cumsum(counts)[:-1])]
         return {"id": batch.column("id"), "y": batch.column("y"), "x": [p.tobytes() for p in parts]}
 
     found = arrow(rows, make, "id long, y int, x binary").toPandas()
-    found = found.assign(k=found.x.map(lambda x: hash(bytes(x[:64])))).sort_values(["id", "k"]) if len(found) else found
+    found = found.sort_values("id") if len(found) else found
     return fit([np.frombuffer(x, np.float32).reshape(-1, FEATURES) for x in found.x], found.y.to_numpy(np.float64))
 
 
