@@ -66,16 +66,17 @@ def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): (node, root), root the smallest node of the component.
 
     Alternating large-star and small-star steps; each round is written, and the loop ends when the links stay the same.
-    Minima are aggregates joined back, so a node with very many links is split like any skewed join key.
+    Minima are written before they are joined back: then a join is one of two plain tables, and a node with very many links is
+    split like any skewed key.
     """
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "large-minima")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = written(large, "large-star")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = written(large.groupBy("a").agg(F.min("b").alias("m")), "small-minima")
         small = large.join(low, "a").where("b <> m").select(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b"))
         edges = written(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "small-star")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
