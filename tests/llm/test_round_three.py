@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from tidewatch.llm import alignment, clusters, minhash
+from tidewatch.llm import alignment, clusters, minhash, pages, quality
 from tidewatch.llm.common import ready
 
 SCHEMA = (
@@ -118,6 +118,47 @@ def test_posterior_bounds():
             assert (weight[grid >= 0.8].sum() / weight.sum() >= 1e-6) == kept
 
 
+# Quality classifier: what reaches the driver
+
+
+def test_the_sample_is_bounded(spark, monkeypatch):
+    """3,000 rows of one id and a very long text: one bag of each id, passages spread over the text, whatever the order of rows."""
+    bags = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: bags.append((x, y.tolist())))
+    rows = [(1, f"text {n}") for n in range(3000)] + [(n, f"other {n} " * 9) for n in range(2, 20)] + [(20, "long text. " * 40_000), (21, None)]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(1, 22)], "doc_id long, quality int")
+    for shuffled in (0, 1):
+        frame = ready(spark).createDataFrame(random.Random(shuffled).sample(rows, len(rows)), "doc_id long, text string").repartition(5)
+        quality.train(frame, labels, sample=2)
+        quality.train(frame, labels, most_passages=8)
+    (two, _), (more, marks), *again = bags
+    assert len(two) == 2 and len(more) == len(marks) > 10
+    assert max(len(b) for b in more) <= 8
+    assert all((a == b).all() for x, y in zip((two, more), (again[0][0], again[1][0])) for a, b in zip(x, y))
+
+
+# Malformed pages
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a b='", "<!--", "<!-- > ", "<!", "</", "<?", "<", "&#"])
+@pytest.mark.parametrize("end", ["", ">", "'>x"])
+def test_malformed_pages_take_linear_time(part, end):
+    from time import process_time
+
+    def seconds(size):
+        began = process_time()
+        assert pages.page_lines("<p>first</p>" + part * (size // len(part)) + end)[0][1].startswith("first")
+        return process_time() - began
+
+    assert seconds(400_000) < max(2.0, 12 * seconds(100_000))
+
+
+def test_what_the_end_cuts_off_has_no_text():
+    assert pages.page_lines("<p>a</p><p>b <a href='x") == [(False, "a"), (False, "b")]
+    assert pages.page_lines("<p>a</p><!-- gone > <p>b") == [(False, "a")]
+    assert pages.page_lines("x < y <p>1 <2") == [(False, "x < y"), (False, "1 <2")]
+
+
 # Centroid clustering
 
 

@@ -20,6 +20,7 @@ partners are sought and give repeated rows. Other columns of the input are not r
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from bisect import bisect_left
 from collections import Counter
@@ -135,9 +136,22 @@ class _Lines(HTMLParser):
             self.text.append(data)
 
 
+#: The begin of a tag, comment or declaration.
+_BEGIN = re.compile(r"<[A-Za-z/!?]")
+
+
+def _closed(html: str) -> str:
+    """Without a comment or tag that the end of the page cuts off, which has no text; the parser would scan the rest for each such begin."""
+    comment = html.find("<!--", html.rfind("-->") + 1)
+    if comment >= 0:
+        html = html[:comment]
+    begin = _BEGIN.search(html, html.rfind(">") + 1)
+    return html[: begin.start()] if begin else html
+
+
 def page_lines(html: str) -> list[tuple[bool, str]]:
     parser = _Lines()
-    parser.feed(html)
+    parser.feed(_closed(html))
     parser.close()
     parser.flush()
     return parser.lines
