@@ -163,6 +163,19 @@ def _quarantine(spark, folder):
     return failed.groupBy("_line").agg(F.count(F.lit(1)).alias("lines")).withColumnRenamed("_line", "line")
 
 
+def _every_log_constraint(spark, folder):
+    """Rows that break each constraint in turn."""
+    rows, turn = logs(spark, folder), F.col("id") % 31
+    rows = rows.withColumns({
+        "log_type": F.when(turn == 1, F.repeat(F.lit("t"), F.lit(51))).when(turn != 0, F.col("log_type")),
+        "timestamp": F.when(turn != 2, F.col("timestamp")),
+        "method": F.when(turn == 3, "UNREASONABLE").otherwise(F.col("method")),
+        "endpoint": F.when(turn == 4, F.repeat(F.lit("/"), F.lit(501))).otherwise(F.col("endpoint")),
+        "data": F.when(turn != 5, F.col("data")),
+    })
+    return C.violations(rows, C.log_constraints())
+
+
 def _constraints(spark, folder):
     rows = logs(spark, folder).withColumn("log_type", F.when(F.col("id") % 31 > 0, F.col("log_type")))
     return C.violations(rows, {**C.log_constraints(), "endpoint_short": F.length("endpoint") <= 20})
@@ -210,6 +223,7 @@ QUERIES = {
     "ingest_report": _report,
     "ingest_failed_lines": _quarantine,
     "check_log_constraints": _constraints,
+    "check_every_log_constraint": _every_log_constraint,
     "check_constraint_split": _valid_split,
     "profile_missing_fields": _missing,
     "clean_mask_password": _masked,
@@ -255,6 +269,8 @@ FROM apache WHERE parsed GROUP BY 1""", COMBINED_CTE),
  SELECT count(*) FILTER (id % 31 = 0) AS a, count(*) FILTER (length(endpoint) > 20) AS b FROM logs) c,
  LATERAL (VALUES ('log_type_present', a), ('log_type_length', 0), ('timestamp_present', 0), ('method_length', 0), ('endpoint_length', 0),
   ('data_present', 0), ('endpoint_short', b)) u(name, n)"""),
+    "check_every_log_constraint": with_ctes("""SELECT name AS constraint, count(*) AS violations FROM logs JOIN (VALUES (0, 'log_type_present'),
+ (1, 'log_type_length'), (2, 'timestamp_present'), (3, 'method_length'), (4, 'endpoint_length'), (5, 'data_present')) v(turn, name) ON id % 31 = turn GROUP BY name"""),
     "check_constraint_split": with_ctes("""SELECT id, concat_ws(',', CASE WHEN length(endpoint) > 20 THEN 'endpoint_short' END,
  CASE WHEN user_agent = 'sqlmap/1.7' THEN 'agent_known' END) AS broken FROM logs WHERE length(endpoint) > 20 OR user_agent = 'sqlmap/1.7'"""),
     "profile_missing_fields": with_ctes("""SELECT count(*) AS total_logs, count(*) FILTER (ip IS NULL) AS missing_ip,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from catalog.common import logs, shown, with_ctes
@@ -59,6 +61,21 @@ def _experiment(spark, folder):
     return shown(found.metrics)
 
 
+def _grid(spark, folder):
+    """All isolation configurations in all walk-forward folds, fitted in one job: the trees of each."""
+    data = D.by_time(dataset(spark, folder))
+    folds = D.fold_ranges(data)
+    normal = data.filter("label = 0")
+    parts = [D.fold_rows(normal, folds, n, ["train"]).withColumn("part", F.lit(n)) for n in sorted({p.fold for p in folds})]
+    models = I.fit_isolation_grid(reduce(lambda a, b: a.unionByName(b), parts), FEATURES, I.candidate_configs(FEATURES))
+    rows = []
+    for part, found in models.items():
+        for m in found:
+            sizes = m.nodes.groupby("tree").size()
+            rows.append((m.config.name, part, len(sizes), int(sizes.between(3, 2 * m.samples - 1).sum())))
+    return spark.createDataFrame(rows, "config string, fold string, trees long, sized long")
+
+
 def _novelty(spark, folder):
     data = dataset(spark, folder)
     scores = T.novelty_scores(data, FEATURES, [ISOLATION])
@@ -110,6 +127,7 @@ QUERIES = {
     "model_isolation_trees": _nodes,
     "model_forest_scores": _forest,
     "model_feature_elimination": _elimination,
+    "model_grid": _grid,
     "model_novelty_protocol": _novelty,
     "model_experiment": _experiment,
     "model_hybrid_stored": _stored,
@@ -119,6 +137,14 @@ QUERIES = {
 ORACLE = {
     "model_isolation_decision_ranges": with_ctes("SELECT count(*) AS logs, count(*) AS ids, count(*) AS in_range, true AS attacks_lower FROM logs"),
     "model_isolation_tree_sizes": f"SELECT CAST({ISOLATION.n_estimators} AS BIGINT) AS trees, CAST({ISOLATION.n_estimators} AS BIGINT) AS sized",
+    "model_grid": with_ctes(
+        """, ends AS (SELECT fold, floor(total * f::DOUBLE) + floor(total * 0.2::DOUBLE) AS b,
+ floor(total * f::DOUBLE) AS a, floor(total * f::DOUBLE) + floor(total * 0.2::DOUBLE) + floor(total * 0.1::DOUBLE) AS c, total
+ FROM (SELECT DISTINCT total FROM dataset), (VALUES ('fold_1', 0.4), ('fold_2', 0.5), ('fold_3', 0.6)) v(fold, f)),
+judged AS (SELECT fold, sum(CASE WHEN pos >= a AND pos < b THEN label ELSE 0 END) AS v, sum(CASE WHEN pos >= b THEN label ELSE 0 END) AS t
+ FROM dataset d, ends e WHERE pos < c AND c <= e.total GROUP BY fold)
+SELECT config, fold, CAST(n AS BIGINT) AS trees, CAST(n AS BIGINT) AS sized FROM judged, (VALUES """
+        + ", ".join(f"('{c.name}', {c.n_estimators})" for c in I.candidate_configs(FEATURES)) + """) g(config, n) WHERE v > 0 AND t > 0""", ATTACK_CTE),
     "model_forest_score_ranges": with_ctes(
         """SELECT split, count(*) AS logs, CAST(sum(label) AS BIGINT) AS anomalies, count(*) AS in_range FROM (SELECT label, CASE WHEN pos < floor(total * 0.6::DOUBLE) THEN 'train'
  WHEN pos < floor(total * 0.8::DOUBLE) THEN 'validation' ELSE 'test' END AS split FROM dataset) WHERE split <> 'train' GROUP BY split""", ATTACK_CTE),

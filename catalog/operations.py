@@ -143,6 +143,8 @@ QUERIES = {
     "slo_alert_velocity": lambda s, d: shown(L.alert_velocity(alerts(s, d)), 8),
     "slo_alerts_per_hour": lambda s, d: shown(L.alert_velocity(alerts(s, d), "severity", L.HOUR), 8),
     "slo_alerts_per_day": lambda s, d: shown(L.alert_velocity(alerts(s, d), "severity", L.DAY), 8),
+    "slo_trailing_increase_hour": lambda s, d: shown(L.trailing_increase(alerts(s, d), "alert_type", L.HOUR)),
+    "slo_trailing_increase_day": lambda s, d: shown(L.trailing_increase(alerts(s, d), "severity", L.DAY)),
     "slo_availability": lambda s, d: shown(L.availability(logs(s, d))),
     "slo_alarms": _alarms,
 }
@@ -170,6 +172,14 @@ _HISTOGRAM = "SELECT method, position, CAST(n AS BIGINT) AS observations FROM (S
 ) + f", count(response_time_ms) AS b{len(_BOUNDS)} FROM logs GROUP BY method) h, LATERAL (VALUES " + ", ".join(
     f"({i}, b{i})" for i in range(len(_BOUNDS) + 1)) + ") v(position, n)"
 
+def _trailing(by: str, seconds: int) -> str:
+    """Every step from the first alert on, with the alerts of the time before it."""
+    return with_ctes(
+        f"""SELECT step AS "at", {by}, count(*) AS increase FROM (SELECT unnest(range(a, b, 300)) AS step FROM (
+ SELECT min(epoch_us(timestamp)) // 300000000 * 300 AS a, max(epoch_us(timestamp)) // 300000000 * 300 + 600 + {seconds} AS b FROM alerts)) JOIN alerts
+ ON epoch_us(timestamp) <= step * 1000000 AND epoch_us(timestamp) > (step - {seconds}) * 1000000 GROUP BY step, {by}""", ALERTS_CTE)
+
+
 ORACLE = {
     "ops_overview": with_ctes(
         f"SELECT (SELECT count(*) FROM alerts) AS total_alerts, strftime({_NOW}, '%Y-%m-%d %H:%M:%S.%f') AS latest_log", ALERTS_CTE),
@@ -250,6 +260,8 @@ FROM steps WHERE observations >= r GROUP BY method"""),
     "slo_alert_velocity": _velocity("alert_type", 300),
     "slo_alerts_per_hour": _velocity("severity", 3600),
     "slo_alerts_per_day": _velocity("severity", 86400),
+    "slo_trailing_increase_hour": _trailing("alert_type", 3600),
+    "slo_trailing_increase_day": _trailing("severity", 86400),
     "slo_availability": with_ctes(
         f"""SELECT w AS window_start, round(avg(CASE WHEN status >= 500 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END), 6) AS availability,
  avg(CASE WHEN status >= 500 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END) >= 0.995 AS target_met FROM (SELECT *, {_EPOCH} - {_EPOCH} % 3600 AS w FROM logs) GROUP BY 1"""),

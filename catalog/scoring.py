@@ -287,6 +287,33 @@ def _alert_constraints(spark, folder):
     return C.violations(found, C.alert_constraints())
 
 
+def _every_score_constraint(spark, folder):
+    """Rows that break each constraint in turn."""
+    turn = F.col("log_id") % 31
+    rows = hybrid(spark, folder).withColumns({
+        "rule_score": F.when(turn == 0, 1.5).otherwise(F.col("rule_score")),
+        "ml_score": F.when(turn != 1, F.col("ml_score")),
+        "final_score": F.when(turn == 2, -0.1).otherwise(F.col("final_score")),
+        "severity": F.when(turn == 3, "SEVERE").otherwise(F.col("severity")),
+        "ml_confidence": F.when(turn == 4, 2.0).otherwise(F.col("ml_confidence")),
+        "is_anomaly": F.when(turn != 5, F.col("is_anomaly")),
+    })
+    return C.violations(rows, C.score_constraints())
+
+
+def _every_alert_constraint(spark, folder):
+    """Each rule's alerts break another constraint."""
+    found, kind = R.run_rules(logs(spark, folder), WINDOW).withColumn("kind", F.col("alert_type")), F.col("kind")
+    found = found.withColumns({
+        "alert_type": F.when(kind != "brute_force", kind),
+        "severity": F.when(kind == "sql_injection", "SEVERE").otherwise(F.col("severity")),
+        "source": F.when(kind == "port_scanning", "guess").otherwise(F.col("source")),
+        "confidence": F.when(kind == "path_traversal", 1.5).otherwise(F.col("confidence")),
+        "timestamp": F.when(kind != "suspicious_user_agent", F.col("timestamp")),
+    })
+    return C.violations(found, C.alert_constraints())
+
+
 QUERIES = {
     "eval_normalise_scores": _normalise,
     "eval_threshold_candidates": _candidates,
@@ -311,6 +338,8 @@ QUERIES = {
     "score_top_anomalies": _top,
     "check_score_constraints": _constraints,
     "check_alert_constraints": _alert_constraints,
+    "check_every_score_constraint": _every_score_constraint,
+    "check_every_alert_constraint": _every_alert_constraint,
 }
 
 _FOLD_CTE = MODEL_CTE + f""",
@@ -430,6 +459,13 @@ ORDER BY final_score DESC, log_id LIMIT 10""", SCORES_CTE),
     "check_score_constraints": with_ctes(
         """SELECT u.* FROM (SELECT count(*) AS n FROM scores), (VALUES ('rule_score_range', 0::BIGINT), ('ml_score_range', 0), ('final_score_range', 0),
  ('severity_domain', 0), ('ml_confidence_range', 0), ('is_anomaly_present', 0)) u("constraint", violations)""", SCORES_CTE),
+    "check_every_score_constraint": with_ctes(
+        """SELECT name AS constraint, count(*) AS violations FROM scores JOIN (VALUES (0, 'rule_score_range'), (1, 'ml_score_range'), (2, 'final_score_range'),
+ (3, 'severity_domain'), (4, 'ml_confidence_range'), (5, 'is_anomaly_present')) v(turn, name) ON log_id % 31 = turn GROUP BY name""", SCORES_CTE),
+    "check_every_alert_constraint": with_ctes(
+        """SELECT name AS constraint, count(alert_id) AS violations FROM (VALUES ('brute_force', 'alert_type_present'), ('sql_injection', 'severity_domain'),
+ ('port_scanning', 'source_domain'), ('path_traversal', 'confidence_range'), ('suspicious_user_agent', 'timestamp_present')) v(kind, name)
+ LEFT JOIN alerts ON alert_type = kind GROUP BY name""", ALERTS_CTE),
     "check_alert_constraints": with_ctes(
         """SELECT u.* FROM (SELECT count(*) FILTER (alert_type = 'port_scanning') AS n FROM alerts),
  LATERAL (VALUES ('alert_type_present', 0::BIGINT), ('severity_domain', 0), ('source_domain', n), ('confidence_range', 0), ('timestamp_present', 0))

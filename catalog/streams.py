@@ -113,6 +113,14 @@ def _window_logs(spark, folder):
     return named.select("alert_type", "log_id")
 
 
+def _window_logs_all(spark, folder):
+    """The logs behind the windowed alerts of all rules."""
+    table = shared_folder(spark, "alerts")
+    J.store_alerts(J.windowed_alerts(log_stream(spark, folder), "1 day", None, "2 hours"), table, shared_folder(spark, "cp")).awaitTermination()
+    rows = logs(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return J.windowed_alert_logs(rows, spark.read.parquet(table), "1 day").select("alert_type", "log_id")
+
+
 def _dedup(spark, folder):
     """Every third row arrives twice."""
     source, table = shared_folder(spark, "twice"), shared_folder(spark, "once")
@@ -196,6 +204,7 @@ QUERIES = {
     "stream_sliding_alert_ids": _alert_ids,
     "stream_failed_lines": _failed,
     "stream_alert_logs": _window_logs,
+    "stream_alert_logs_all": _window_logs_all,
     "stream_deduplicate": _dedup,
     "stream_scores": _score,
     "stream_scores_batches": _score_batches,
@@ -245,6 +254,7 @@ ORACLE = {
  SELECT 'suspicious_user_agent', id, timestamp, count(*) OVER (PARTITION BY ip, user_agent, date_trunc('day', timestamp)), 3
  FROM logs WHERE user_agent ILIKE '%sqlmap%' OR user_agent ILIKE '%python-requests%')
 WHERE n >= m AND date_trunc('day', timestamp) + INTERVAL 1 DAY <= (SELECT max(timestamp) FROM logs) - INTERVAL 2 HOUR"""),
+    "stream_alert_logs_all": with_ctes(f"SELECT alert_type, log_id FROM members JOIN logs ON id = log_id WHERE logs.{_CLOSED}", _DAILY_ALERTS_CTE),
     "stream_deduplicate": with_ctes("SELECT id, ip, endpoint FROM logs"),
     "stream_scores": with_ctes("SELECT log_id, rule_score, final_score, severity, triggered_rules FROM scores", SCORES_CTE),
     "stream_scores_batches": with_ctes(

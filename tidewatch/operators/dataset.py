@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import micros
 from tidewatch.operators.order_stats import cut_scalar, minute_cell, quantiles, rank_cuts
+from tidewatch.session import written
 
 # Scenarios by protocol role.
 KNOWN_ATTACKS = ["brute_force", "rate_abuse", "offhours"]
@@ -151,6 +153,73 @@ def require_folds(folds: DataFrame) -> list[str]:
     return names
 
 
+@dataclass(frozen=True)
+class FoldPart:
+    """Rows of one fold and split: those after one row, up to another one, both given as (micros, log_id)."""
+
+    fold: str
+    split: str
+    after: tuple[int, int] | None
+    until: tuple[int, int]
+
+    def holds(self, kind: str = "timestamp") -> Column:
+        """The range as a filter; its time bounds, of the time column's type, reach the scan of stored rows, which are sorted by time."""
+        time, row = F.col("timestamp"), F.struct(micros("timestamp"), F.col("log_id").cast("bigint"))
+
+        def at(micro: int) -> Column:
+            return F.timestamp_micros(F.lit(micro)).cast(kind)
+
+        def of(bound: tuple[int, int]) -> Column:
+            return F.struct(F.lit(bound[0]).cast("bigint"), F.lit(bound[1]).cast("bigint"))
+
+        inside = (time <= at(self.until[0])) & (row <= of(self.until))
+        return inside if self.after is None else inside & (time >= at(self.after[0])) & (row > of(self.after))
+
+
+def by_time(dataset: DataFrame, name: str = "by-time") -> DataFrame:
+    """The rows stored once, sorted by time, so that a range of time reads its own files and row groups. Written."""
+    return written(dataset.repartitionByRange("timestamp", "log_id").sortWithinPartitions("timestamp", "log_id"), name)
+
+
+def fold_ranges(
+    dataset: DataFrame, validation: float = 0.2, test: float = 0.1, starts: Sequence[float] = tuple(FOLD_STARTS)
+) -> list[FoldPart]:
+    """The walk-forward folds of ``backtest_folds`` as ranges of rows: three per fold, whatever the rows; no row is copied.
+
+    Without any fold that has positive labels in both judged parts this is an error.
+    """
+    ranks: dict[str, Column] = {}
+    for i, start in enumerate(starts, 1):
+        end = _whole(start)
+        for part, more in (("train", None), ("validation", validation), ("test", test)):
+            end = end if more is None else end + _whole(more)
+            ranks[f"{i}_{part}"] = end - 1
+    cuts = {r["cut"]: (r["major"], r["minor"]) for r in rank_cuts(dataset, micros("timestamp"), F.col("log_id"), ranks).collect()}
+    parts = []
+    for i in range(1, len(starts) + 1):
+        names = [f"{i}_{part}" for part in ("train", "validation", "test")]
+        if f"{i}_test" in cuts:
+            ends = [None, *[cuts.get(n) for n in names]]
+            parts += [FoldPart(f"fold_{i}", n[2:], a, b) for n, a, b in zip(names, ends, ends[1:]) if b is not None]
+    judged = [p for p in parts if p.split != "train"]
+    kind = dataset.schema["timestamp"].dataType.simpleString()
+    found = dataset.agg(*[F.count_if(p.holds(kind) & (F.col("label") > 0)).alias(f"{p.fold} {p.split}") for p in judged]).first() if judged else {}
+    usable = {p.fold for p in judged} - {p.fold for p in judged if not found[f"{p.fold} {p.split}"]}
+    if not usable:
+        raise ValueError("no walk-forward fold has enough anomalies")
+    return [p for p in parts if p.fold in usable]
+
+
+def fold_rows(dataset: DataFrame, parts: Sequence[FoldPart], fold: str, splits: Sequence[str]) -> DataFrame:
+    """Rows of some splits of a fold, with ``split``."""
+    chosen = [p for p in parts if p.fold == fold and p.split in splits]
+    kind = dataset.schema["timestamp"].dataType.simpleString()
+    split, inside = F.lit(None).cast("string"), F.lit(False)
+    for p in chosen:
+        split, inside = F.when(p.holds(kind), p.split).otherwise(split), inside | p.holds(kind)
+    return dataset.filter(inside).withColumn("split", split)
+
+
 def misaligned(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of either data set without an equal row in the other; none when they are aligned."""
     a, b = left.select(*columns), right.select(*columns)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -190,27 +191,28 @@ def _grow(values: np.ndarray, rng: np.random.Generator, usable: np.ndarray, dept
     return [tuple(n) for n in nodes]
 
 
+def _tree(values: np.ndarray, tree: int, config: IsolationConfig, seed: int) -> pd.DataFrame:
+    """The nodes of one tree from its sample, in order of log_id."""
+    rng = np.random.default_rng([seed, tree])
+    if config.bootstrap:
+        values = values[rng.integers(0, len(values), len(values))]
+    columns = values.shape[1]
+    usable = np.sort(rng.choice(columns, max(1, int(config.max_features * columns)), replace=False))
+    grown = _grow(values, rng, usable, int(np.ceil(np.log2(max(config.samples, 2)))))
+    frame = pd.DataFrame(grown, columns=["feature", "threshold", "left", "right", "path"])
+    frame.insert(0, "node", np.arange(len(frame)))
+    frame.insert(0, "tree", tree)
+    return frame
+
+
 def fit_isolation(normal: DataFrame, columns: Sequence[str], config: IsolationConfig = IsolationConfig(), seed: int = SEED) -> IsolationModel:
     """Fit on normal rows: log_id and the feature columns of the configuration's set."""
     names = feature_sets(columns)[config.feature_set]
     rows, total, scale = prepared_inputs(normal.select("log_id", *names), names)
     scaled = rows.select("log_id", *[((F.col(c) - scale[c][0]) / scale[c][1]).alias(c) for c in names])
-    depth_limit = int(np.ceil(np.log2(max(config.samples, 2))))
-    kept = max(1, int(config.max_features * len(names)))
-    bootstrap = config.bootstrap
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
-        tree = int(group["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree])
-        values = group.sort_values("log_id")[names].to_numpy(float)
-        if bootstrap:
-            values = values[rng.integers(0, len(values), len(values))]
-        usable = np.sort(rng.choice(len(names), kept, replace=False))
-        grown = _grow(values, rng, usable, depth_limit)
-        frame = pd.DataFrame(grown, columns=["feature", "threshold", "left", "right", "path"])
-        frame.insert(0, "node", np.arange(len(frame)))
-        frame.insert(0, "tree", tree)
-        return frame
+        return _tree(group.sort_values("log_id")[names].to_numpy(float), int(group["tree"].iloc[0]), config, seed)
 
     samples = tree_samples(scaled, total, config, seed)
     nodes = samples.groupBy("tree").applyInPandas(build, _NODE_SCHEMA).toPandas()
@@ -221,6 +223,108 @@ def fit_isolation(normal: DataFrame, columns: Sequence[str], config: IsolationCo
     return IsolationModel(list(names), scale, used, config, nodes.sort_values(["tree", "node"], ignore_index=True))
 
 
+_GRID_SCHEMA = f"part string, config int, {_NODE_SCHEMA}"
+
+
+def fit_isolation_grid(
+    normal: DataFrame, columns: Sequence[str], configs: Sequence[IsolationConfig], seed: int = SEED, by: str = "part"
+) -> dict[str, list[IsolationModel]]:
+    """The models of ``fit_isolation`` for all configurations and all parts of the rows, in one job.
+
+    ``normal`` holds log_id, the features and the part (a fold) of each row. Rows are sampled once per part, sample size and tree:
+    configurations that differ in their features or in how trees draw them share the sample, and the task that holds it grows
+    their trees. The number of node rows is bounded by parts x configurations x trees x (2 x samples - 1), whatever the data.
+    """
+    columns, configs = list(columns), list(configs)
+    sets = feature_sets(columns)
+    rows = _cleaned(normal.select("log_id", F.col(by).alias("part"), *columns), columns)
+    measures = [e for c in columns for e in (F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"m_{c}"), F.stddev_pop(c).alias(f"s_{c}"))]
+    stats = {r["part"]: r for r in rows.groupBy("part").agg(F.count(F.lit(1)).alias("total"), *measures).collect()}
+    holed = [c for c in columns if any(r[f"n_{c}"] < r["total"] for r in stats.values())]
+    if holed:
+        stacked = rows.select("part", F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("held")) for c in holed])))
+        medians = {(r["part"], r["column"]): r["quantile"] for r in quantiles(stacked, "held", [0.5], by=["part", "column"]).collect()}
+        median = F.create_map(*[F.lit(x) for (part, c), m in medians.items() for x in (f"{c} {part}", m)]) if medians else F.create_map().cast("map<string,double>")
+        rows = rows.withColumns({c: F.coalesce(c, F.try_element_at(median, F.concat(F.lit(f"{c} "), "part")), F.lit(0.0)) for c in holed})
+        stats = {r["part"]: r for r in rows.groupBy("part").agg(F.count(F.lit(1)).alias("total"), *measures).collect()}
+    scale = {part: {c: (r[f"m_{c}"] or 0.0, r[f"s_{c}"] or 1.0) for c in columns} for part, r in stats.items()}
+
+    samples = []
+    for part, r in stats.items():
+        own = rows.filter(F.col("part") == part)
+        for size in sorted({c.samples for c in configs}):
+            most = max(c.n_estimators for c in configs if c.samples == size)
+            samples.append(tree_samples(own, r["total"], IsolationConfig(n_estimators=most, max_samples=size), seed).withColumn("size", F.lit(size)))
+
+    def build(group: pd.DataFrame) -> pd.DataFrame:
+        part, size, tree = (group[c].iloc[0] for c in ("part", "size", "tree"))
+        group = group.sort_values("log_id")
+        scaled = pd.DataFrame({c: (group[c].to_numpy(float) - scale[part][c][0]) / scale[part][c][1] for c in columns})
+        found = []
+        for number, config in enumerate(configs):
+            if config.samples == size and tree < config.n_estimators:
+                found.append(_tree(scaled[sets[config.feature_set]].to_numpy(), int(tree), config, seed).assign(config=number, part=part))
+        return pd.concat(found) if found else pd.DataFrame(columns=["part", "config", "tree", "node", "feature", "threshold", "left", "right", "path"])
+
+    if not samples:
+        return {}
+    nodes = reduce(DataFrame.unionByName, samples).groupBy("part", "size", "tree").applyInPandas(build, _GRID_SCHEMA).toPandas()
+    models: dict[str, list[IsolationModel]] = {part: [] for part in stats}
+    grown = {key: frame for key, frame in nodes.groupby(["part", "config"])}
+    for part, r in stats.items():
+        for number, config in enumerate(configs):
+            own = grown[part, number].drop(columns=["part", "config"]).sort_values(["tree", "node"], ignore_index=True)
+            if own["tree"].nunique() != config.n_estimators:
+                raise RuntimeError(f"{own['tree'].nunique()} of {config.n_estimators} trees were grown")
+            names = sets[config.feature_set]
+            models[part].append(IsolationModel(names, {c: scale[part][c] for c in names}, min(config.samples, r["total"]), config, own))
+    return models
+
+
+def isolation_grid_scores(df: DataFrame, models: Sequence[IsolationModel]) -> DataFrame:
+    """(config, rows of df, score): the scores of ``isolation_scores`` for several models, from one pass over the rows."""
+    columns = list(dict.fromkeys(c for m in models for c in m.columns))
+    rows = filled_inputs(df, columns)
+    shared = df.sparkSession.sparkContext.broadcast([(_flat(m), _walk(m)) for m in models])
+
+    @F.pandas_udf("array<double>")
+    def score(frame: pd.DataFrame) -> pd.Series:
+        values = {c: frame[c].to_numpy(float) for c in columns}
+        found = [-_decisions(trees, walk, np.column_stack([values[c] for c in walk["columns"]])) for trees, walk in shared.value]
+        return pd.Series(list(np.column_stack(found)) if len(frame) else [])
+
+    scored = rows.withColumn("_scores", score(F.struct(*[F.col(c) for c in columns])))
+    names = F.array(*[F.lit(m.config.name) for m in models])
+    pairs = F.explode(F.arrays_zip(names.alias("config"), F.col("_scores").alias("score")))
+    return scored.withColumn("_pair", pairs).select(*df.columns, "_pair.config", "_pair.score")
+
+
+def _walk(model: IsolationModel) -> dict:
+    """What scoring needs of a model besides its trees."""
+    return {
+        "columns": model.columns,
+        "depth": int(np.ceil(np.log2(max(model.config.samples, 2)))),
+        "expected": average_path(model.samples) or 1.0,
+        "means": np.array([model.scale[c][0] for c in model.columns]),
+        "stds": np.array([model.scale[c][1] for c in model.columns]),
+    }
+
+
+def _decisions(trees: dict[str, np.ndarray], walk: dict, values: np.ndarray) -> np.ndarray:
+    """Decisions of unscaled feature rows."""
+    values = (values - walk["means"]) / walk["stds"]
+    result = np.empty(len(values))
+    for start in range(0, len(values), 1024):
+        part = values[start:start + 1024]
+        row = np.arange(len(part))[:, None]
+        at = np.broadcast_to(trees["roots"], (len(part), len(trees["roots"])))
+        for _ in range(walk["depth"]):
+            goes_left = part[row, trees["feature"][at]] <= trees["threshold"][at]
+            at = np.where(goes_left, trees["left"][at], trees["right"][at])
+        result[start:start + 1024] = 0.5 - 2.0 ** (-trees["path"][at].mean(axis=1) / walk["expected"])
+    return result
+
+
 def _flat(model: IsolationModel) -> dict[str, np.ndarray]:
     """The trees laid end to end, with absolute child positions."""
     nodes = model.nodes
@@ -247,25 +351,11 @@ def isolation_decision(df: DataFrame, model: IsolationModel, missing: str = "med
         raise ValueError(f"missing features are filled by median or zero, not {missing!r}")
     rows = filled_inputs(df, model.columns) if missing == "median" else _cleaned(df, model.columns).fillna(0.0, subset=list(model.columns))
     shared = df.sparkSession.sparkContext.broadcast(_flat(model))
-    depth = int(np.ceil(np.log2(max(model.config.samples, 2))))
-    expected = average_path(model.samples) or 1.0
-    means = np.array([model.scale[c][0] for c in model.columns])
-    stds = np.array([model.scale[c][1] for c in model.columns])
+    walk = _walk(model)
 
     @F.pandas_udf("double")
     def decide(frame: pd.DataFrame) -> pd.Series:
-        trees = shared.value
-        values = (frame.to_numpy(float) - means) / stds
-        result = np.empty(len(values))
-        for start in range(0, len(values), 1024):
-            part = values[start:start + 1024]
-            row = np.arange(len(part))[:, None]
-            at = np.broadcast_to(trees["roots"], (len(part), len(trees["roots"])))
-            for _ in range(depth):
-                goes_left = part[row, trees["feature"][at]] <= trees["threshold"][at]
-                at = np.where(goes_left, trees["left"][at], trees["right"][at])
-            result[start:start + 1024] = 0.5 - 2.0 ** (-trees["path"][at].mean(axis=1) / expected)
-        return pd.Series(result)
+        return pd.Series(_decisions(shared.value, walk, frame.to_numpy(float)))
 
     return rows.withColumn("decision", decide(F.struct(*[F.col(c) for c in model.columns])))
 

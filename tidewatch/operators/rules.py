@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import any_ilike, micros, off_hours, recent
 from tidewatch.functions.numbering import numbered
+from tidewatch.session import written
 
 # The text patterns of the rules.
 SQL_PATTERNS = ["%union%select%", "%or%1=1%", "%drop%table%", "%--%"]
@@ -298,10 +299,11 @@ def alert_endpoints(
 def log_id_chunks(members: DataFrame, length: int = 10_000) -> DataFrame:
     """(alert_id, chunk, log_ids): all log ids of every alert in time order, in lists of ``length`` numbered from 0.
 
-    The rows are numbered through the whole table, so an alert of any size is never in one task.
+    The rows are numbered through the whole table, and the alerts' first numbers are written before they are joined: then the join is one of two
+    plain tables, which Spark splits for an alert that owns many rows.
     """
     rows = numbered(members.select("alert_id", "timestamp", "log_id"), ["alert_id", "timestamp", "log_id"])
-    first = rows.groupBy("alert_id").agg(F.min("n").alias("_first"))
+    first = written(rows.groupBy("alert_id").agg(F.min("n").alias("_first")), "first-numbers")
     chunk = F.floor((F.col("n") - F.col("_first")) / length)
     return (
         rows.join(first, "alert_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import floor_to, micros
 from tidewatch.operators.order_stats import quantiles
+from tidewatch.operators.ordered import previous, running_sum
+from tidewatch.session import written
 
 FIVE_MINUTES = 300
 HOUR = 3600
@@ -118,72 +121,72 @@ def availability(logs: DataFrame, target: float = AVAILABILITY_TARGET, seconds:
     )
 
 
-def minute_grid(logs: DataFrame, alerts: DataFrame, quality: DataFrame) -> DataFrame:
-    """One row per minute of the covered time: new logs, alerts, newest log so far, model F1 so far.
+def trailing_increase(alerts: DataFrame, by: str = "alert_type", seconds: int = HOUR, step: int = FIVE_MINUTES) -> DataFrame:
+    """(at, by, increase): at every step, the alerts of the ``seconds`` up to it; steps without any are left out.
 
-    ``quality`` holds (timestamp, value). Logs and alerts are counted per minute first; from there on
-    the data is as long as the time covered (1,440 rows a day), whatever the traffic, and the running
-    columns are computed over that short table.
+    An alert counts from the first step at or after it until its age passes ``seconds``: the increase is a running sum of
+    arrivals and departures, so it changes at these times alone and nothing is counted once per step.
     """
-    minute = window_start(60).alias("minute")
-    per_log = logs.groupBy(minute).agg(F.count(F.lit(1)).alias("logs"), F.max(micros("timestamp")).alias("newest"))
-    per_alert = alerts.groupBy(minute).agg(F.count(F.lit(1)).alias("alerts"))
-    per_value = quality.groupBy(minute).agg(F.max_by("value", "timestamp").alias("f1"))
-    ends = logs.agg(F.min(micros("timestamp")).alias("low"), F.max(micros("timestamp")).alias("high"))
-    grid = ends.select(
-        F.explode(F.sequence(
-            floor_to(F.floor(F.col("low") / 1_000_000).cast("bigint"), 60),
-            floor_to(F.floor(F.col("high") / 1_000_000).cast("bigint"), 60),
-            F.lit(60).cast("bigint"),
-        )).alias("minute")
-    )
-    so_far = W.orderBy("minute").rowsBetween(W.unboundedPreceding, 0)
-    return (
-        grid.join(per_log, "minute", "left").join(per_alert, "minute", "left").join(per_value, "minute", "left")
-        .select(
-            "minute",
-            F.coalesce("logs", F.lit(0)).alias("logs"),
-            F.coalesce("alerts", F.lit(0)).alias("alerts"),
-            F.max("newest").over(so_far).alias("newest"),
-            F.last("f1", ignorenulls=True).over(so_far).alias("f1"),
-        )
-    )
-
-
-def alarm_conditions(grid: DataFrame, alert_limit: int = ALERT_LIMIT) -> DataFrame:
-    """(minute, alarm, active) at the end of every minute."""
-    def last(minutes: int):
-        return W.orderBy("minute").rangeBetween(-60 * (minutes - 1), 0)
-
-    conditions = {
-        "high_alert_rate": F.sum("alerts").over(last(10)) > alert_limit,
-        "no_logs_processed": F.sum("logs").over(last(15)) == 0,
-        "model_f1_low": F.coalesce((F.col("f1") > 0) & (F.col("f1") < F1_TARGET), F.lit(False)),
-        "data_freshness_high": (F.col("minute") + 60) * 1_000_000 - F.col("newest") > FRESHNESS_LIMIT * 1_000_000,
-    }
-    checked = grid.select("minute", *[c.alias(n) for n, c in conditions.items()])
-    rows = F.array(*[F.struct(F.lit(n).alias("alarm"), F.col(n).alias("active")) for n in conditions])
-    return checked.select("minute", F.inline(rows))
+    if seconds % step:
+        raise ValueError(f"a span of {seconds} seconds is not a multiple of a step of {step}")
+    second = F.ceil(micros("timestamp") / (step * 1_000_000)).cast("bigint") * step
+    arrived = written(alerts.groupBy(second.alias("at"), by).agg(F.count(F.lit(1)).alias("n")), "arrivals")
+    left = arrived.select((F.col("at") + seconds).alias("at"), by, (-F.col("n")).alias("n"))
+    changes = arrived.unionByName(left).groupBy("at", by).agg(F.sum("n").alias("n"))
+    sums = written(running_sum(changes, "at", "n", "increase", [by]), "increases")
+    spans = previous(sums, "at", ["at", "increase"], [by])
+    steps = F.sequence(F.col("before.at"), F.col("at") - step, F.lit(step).cast("bigint"))
+    return spans.filter("before.increase > 0").select(F.explode(steps).alias("at"), by, F.col("before.increase").alias("increase"))
+
+
+def _runs(changes: DataFrame, start: Column, end: Column) -> DataFrame:
+    """(pending_since, last_active) in minutes from the minutes at which a condition may change: (minute, active).
+
+    Only changes of the state are kept, so each end follows its start; a run that is still open ends with ``end``.
+    """
+    inside = changes.filter((F.col("minute") >= start) & (F.col("minute") <= end))
+    closing = inside.limit(1).select((end + 60).alias("minute"), F.lit(False).alias("active"))
+    states = previous(inside.unionByName(closing), "minute", ["active"])
+    switched = written(states.filter(F.col("active") != F.coalesce("before.active", F.lit(False))).drop("before"), "switches")
+    paired = previous(switched, "minute", ["minute"])
+    return paired.filter(~F.col("active")).select(F.col("before.minute").alias("pending_since"), (F.col("minute") - 60).alias("last_active"))
 
 
 def alarms(logs: DataFrame, alerts: DataFrame, quality: DataFrame, alert_limit: int = ALERT_LIMIT) -> DataFrame:
-    """Alarm episodes: a condition that stayed true for its hold time.
+    """Alarm episodes: a condition, judged at the end of every minute from the first log to the last, that stayed true for its hold time.
 
-    (alarm, pending_since, firing_since, last_active) in epoch seconds of the minutes.
+    (alarm, pending_since, firing_since, last_active) in epoch seconds of the minutes. ``quality`` holds (timestamp, value). A condition
+    changes only where a log, an alert or a value arrives or grows old, so what is looked at is as long as these minutes, not
+    as the time between them: one log from 1970 adds one row.
     """
-    states = alarm_conditions(minute_grid(logs, alerts, quality), alert_limit)
-    breaks = F.sum(F.when(F.col("active"), 0).otherwise(1)).over(
-        W.partitionBy("alarm").orderBy("minute").rowsBetween(W.unboundedPreceding, 0)
-    )
-    hold = F.lit(0)
-    for name, minutes in HOLD_MINUTES.items():
-        hold = F.when(F.col("alarm") == name, minutes * 60).otherwise(hold)
+    minute = window_start(60).alias("minute")
+    # Tables of minutes are read several times, so they are written once; logs, alerts and values are read once each.
+    per_log = written(logs.groupBy(minute).agg(F.max(micros("timestamp")).alias("newest")), "minutes-with-logs")
+    ends = per_log.agg(F.min("minute").alias("a"), F.max("minute").alias("b"))
+    start, end = ends.select("a").scalar(), ends.select("b").scalar()
+
+    # Between two minutes with logs: silent from the 15th minute on, stale from the limit on.
+    gaps = previous(per_log, "minute", ["minute", "newest"]).filter("before is not null")
+    stale = (F.floor((F.col("before.newest") + (FRESHNESS_LIMIT - 60) * 1_000_000) / 60_000_000) * 60 + 60).cast("bigint")
+    last = (F.col("minute") - 60).alias("last_active")
+    silent = gaps.select((F.col("before.minute") + 15 * 60).alias("pending_since"), last)
+    stale = gaps.select(F.greatest("before.minute", stale).alias("pending_since"), last)
+
+    arrived = written(alerts.groupBy(minute).agg(F.count(F.lit(1)).alias("n")), "minutes-with-alerts")
+    arrived = arrived.filter((F.col("minute") >= start) & (F.col("minute") <= end))
+    gone = arrived.select((F.col("minute") + 600).alias("minute"), (-F.col("n")).alias("n"))
+    counts = written(running_sum(arrived.unionByName(gone).groupBy("minute").agg(F.sum("n").alias("n")), "minute", "n", "alerts"), "alert-counts")
+    many = _runs(counts.select("minute", (F.col("alerts") > alert_limit).alias("active")), start, end)
+
+    value = F.max_by("value", "timestamp")  # the last one of a minute
+    values = written(quality.groupBy(minute).agg(value.alias("f1")).filter("f1 is not null"), "minutes-with-values")
+    low = _runs(values.select("minute", ((F.col("f1") > 0) & (F.col("f1") < F1_TARGET)).alias("active")), start, end)
+
+    runs = {"high_alert_rate": many, "no_logs_processed": silent, "model_f1_low": low, "data_freshness_high": stale}
+    named = [df.withColumns({"alarm": F.lit(name), "hold": F.lit(HOLD_MINUTES[name] * 60)}) for name, df in runs.items()]
     return (
-        states.withColumn("run", breaks)
-        .filter("active")
-        .groupBy("alarm", "run")
-        .agg(F.min("minute").alias("pending_since"), F.max("minute").alias("last_active"))
-        .withColumn("firing_since", F.col("pending_since") + hold)
+        reduce(DataFrame.unionByName, named)
+        .withColumn("firing_since", F.col("pending_since") + F.col("hold"))
         .filter(F.col("last_active") >= F.col("firing_since"))
         .select("alarm", "pending_since", "firing_since", "last_active")
     )

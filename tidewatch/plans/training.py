@@ -32,26 +32,28 @@ def _named(scored: DataFrame, config: str, fold: str) -> DataFrame:
     return scored.withColumns({"config": F.lit(config), "fold": F.lit(fold)}).select(*_SCORED)
 
 
-def isolation_fold_scores(folds: DataFrame, names: Sequence[str], columns: Sequence[str], configs: Sequence[I.IsolationConfig]) -> DataFrame:
-    """Validation and test scores of every configuration in every fold, fitted on the fold's normal rows."""
-    parts = []
+def isolation_fold_scores(data: DataFrame, folds: Sequence[D.FoldPart], columns: Sequence[str], configs: Sequence[I.IsolationConfig]) -> DataFrame:
+    """Validation and test scores of every configuration in every fold, fitted on the fold's normal rows.
+
+    ``data`` is stored by time (``dataset.by_time``). All models are fitted in one job, and each fold's judged rows are read once for all of them.
+    """
+    names = sorted({p.fold for p in folds})
+    normal = data.filter(F.col("label") == 0)
+    parts = [D.fold_rows(normal, folds, name, ["train"]).withColumn("fold", F.lit(name)) for name in names]
+    models = I.fit_isolation_grid(_union(parts), columns, configs, by="fold")
+    frames = []
     for name in names:
-        fold = folds.filter(F.col("fold") == name).drop("fold")
-        normal = fold.filter((F.col("split") == "train") & (F.col("label") == 0))
-        for config in configs:
-            model = I.fit_isolation(normal, columns, config)
-            judged = fold.filter(F.col("split") != "train")
-            parts.append(_named(I.isolation_scores(judged, model), config.name, name))
-    return written(_union(parts), "isolation-scores")
+        judged = D.fold_rows(data, folds, name, ["validation", "test"]).select("split", "log_id", "label", *columns)
+        frames.append(I.isolation_grid_scores(judged, models[name]).withColumn("fold", F.lit(name)).select(*_SCORED))
+    return written(_union(frames), "isolation-scores")
 
 
-def forest_fold_scores(folds: DataFrame, names: Sequence[str], columns: Sequence[str], configs: Sequence[dict]) -> DataFrame:
+def forest_fold_scores(data: DataFrame, folds: Sequence[D.FoldPart], columns: Sequence[str], configs: Sequence[dict]) -> DataFrame:
     parts = []
-    for name in names:
-        fold = folds.filter(F.col("fold") == name).drop("fold")
+    for name in sorted({p.fold for p in folds}):
+        train, judged = D.fold_rows(data, folds, name, ["train"]), D.fold_rows(data, folds, name, ["validation", "test"])
         for config in configs:
-            model = K.fit_forest(fold.filter(F.col("split") == "train"), columns, config["trees"], config["balanced"], config.get("depth", K.DEPTH))
-            judged = fold.filter(F.col("split") != "train")
+            model = K.fit_forest(train, columns, config["trees"], config["balanced"], config.get("depth", K.DEPTH))
             parts.append(_named(K.forest_scores(judged, model, columns), config["name"], name))
     return written(_union(parts), "forest-scores")
 
@@ -68,11 +70,11 @@ def novelty_scores(data: DataFrame, columns: Sequence[str], configs: Sequence[I.
     """Scores of the novelty protocol: fitted on its normal training part, one fold."""
     parts = D.novelty_split(data)
     normal = parts["baseline_train"].filter(F.col("label") == 0)
+    models = I.fit_isolation_grid(normal.withColumn("fold", F.lit("protocol")), columns, configs, by="fold")["protocol"]
     frames = []
-    for config in configs:
-        model = I.fit_isolation(normal, columns, config)
-        for part, split in (("threshold_validation", "validation"), ("novelty_test", "test")):
-            frames.append(_named(I.isolation_scores(parts[part], model).withColumn("split", F.lit(split)), config.name, "protocol"))
+    for part, split in (("threshold_validation", "validation"), ("novelty_test", "test")):
+        judged = parts[part].select("log_id", "label", *columns)
+        frames.append(I.isolation_grid_scores(judged, models).withColumns({"split": F.lit(split), "fold": F.lit("protocol")}).select(*_SCORED))
     return written(_union(frames), "novelty-scores")
 
 
@@ -101,15 +103,14 @@ def run_experiment(
     isolation_configs = list(isolation_configs or I.candidate_configs(columns))
     by_name = {c.name: c for c in isolation_configs}
     forest_by_name = {c["name"]: c for c in forest_configs}
-    data = written(data, "training-data")
-    folds = written(D.backtest_folds(data), "folds")
-    names = D.require_folds(folds)
+    data = D.by_time(data, "training-data")
+    folds = D.fold_ranges(data)
 
-    isolation_scores = isolation_fold_scores(folds, names, columns, isolation_configs)
+    isolation_scores = isolation_fold_scores(data, folds, columns, isolation_configs)
     best_isolation = V.best_config(V.fold_results(isolation_scores), V.ISOLATION_ORDER).first().asDict()
     novelty = novelty_scores(data, columns, isolation_configs)
     best_novelty = V.best_config(V.fold_results(novelty), V.NOVELTY_ORDER).first().asDict()
-    forest_scores = forest_fold_scores(folds, names, columns, forest_configs)
+    forest_scores = forest_fold_scores(data, folds, columns, forest_configs)
     best_forest = select_forest(forest_scores, forest_configs).first().asDict()
     best_ensemble = V.select_ensemble(
         forest_scores.filter(F.col("config") == best_forest["config"]).drop("config"),

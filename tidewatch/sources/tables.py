@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewatch.functions.columns import recent
-from tidewatch.session import discard, shared_folder
+from tidewatch.session import discard, scratch, shared_folder, written
+from tidewatch.sources.commits import CommitLog
 from tidewatch.sources.lines import with_ids
 
 
@@ -44,7 +45,9 @@ def append_logs(logs: DataFrame, path: str, rebalance: bool = True) -> None:
 
 
 def last_id(spark: SparkSession, path: str) -> int:
-    """The largest id of a stored table, 0 without one; read from file footers alone."""
+    """The largest id of a stored table, 0 without one: from its commit log, else by a scan of the ids."""
+    if (newest := CommitLog(spark, path).newest()) is not None:
+        return newest.last_id
     if not exists(spark, path) or "id" not in (stored := spark.read.parquet(path)).columns:
         return 0
     return stored.agg(F.max("id")).first()[0] or 0
