@@ -22,7 +22,6 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ from tidewatch.session import written
 #: Id pairs whose counts are sent to all tasks, at most (16 bytes each).
 FREQUENT = 1 << 17
 #: Windows that a worker remembers in each of two generations, and their most tokens.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 REMEMBERED_TOKENS = 48
 
 # Fixed value: how byte-level pre-tokenizers cut a text.
@@ -119,9 +118,7 @@ class Aligner:
 
     def told(self, side: int, ids: np.ndarray) -> np.ndarray:
         """The bytes of tokens, joined."""
-        lengths = self.lengths[side][ids]
-        ends = np.cumsum(lengths)
-        return self.flat[side][np.repeat(self.starts[side][ids] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        return self.flat[side][_spread(self.starts[side][ids], self.lengths[side][ids])]
 
     def whole(self, texts: list[str], tokens: tuple[list[np.ndarray], list[np.ndarray]]) -> np.ndarray:
         """Which texts have tokens that give back space and text, on both sides."""
@@ -138,47 +135,57 @@ class Aligner:
                 good[some] &= np.add.reduceat(wrong, np.cumsum(sizes[some]) - sizes[some], dtype=np.int64) == 0
         return good
 
-    def align(self, windows: list[tuple[tuple[int, ...], tuple[int, ...]]]) -> list[tuple[int, tuple[int, ...], str]]:
-        """Per window, two token sequences over the same bytes: groups, linked pairs (as a * size_b + b), and the groups' text.
+    def align(self, ids: list[np.ndarray], n: list[np.ndarray]) -> list[tuple[int, bytes, str]]:
+        """Per window, token sequences of A and B over the same bytes, laid end to end with n tokens each: groups, links and the groups' text.
 
-        Between two neighbouring ends of any tokens lies one link: that of the tokens which cover the bytes there.
+        Links are pairs of ids (a * size_b + b), packed as 64-bit numbers. Between two neighbouring ends of any tokens lies one link: that of the
+        tokens which cover the bytes there.
         """
-        n = [np.fromiter((len(w[side]) for w in windows), np.int64, len(windows)) for side in (0, 1)]
-        ids = [np.fromiter(chain.from_iterable(w[side] for w in windows), np.int64, int(n[side].sum())) for side in (0, 1)]
         ends = [np.cumsum(self.lengths[side][ids[side]]) for side in (0, 1)]
         places = np.union1d(*ends)
         in_a, in_b = (np.searchsorted(e, places) for e in ends)
-        pairs = (ids[0][in_a] * self.size_b + ids[1][in_b]).tolist()
+        pairs = (ids[0][in_a] * self.size_b + ids[1][in_b]).tobytes()
         shared = np.intersect1d(*ends, assume_unique=True)
         of = [np.searchsorted(shared, e) for e in ends]
         last = [shared[g] == e for g, e in zip(of, ends)]
-        window = np.repeat(np.arange(len(windows)), n[0])
-        links = np.cumsum(np.bincount(window[in_a], minlength=len(windows))).tolist()
-        groups = np.bincount(window[last[0]], minlength=len(windows)).tolist()
+        window = np.repeat(np.arange(len(n[0])), n[0])
+        links = (8 * np.cumsum(np.bincount(window[in_a], minlength=len(n[0])))).tolist()
+        groups = np.bincount(window[last[0]], minlength=len(n[0])).tolist()
         # The text: of each group the tokens of A, then those of B, each with what follows it.
         order = np.argsort(np.concatenate((2 * of[0], 2 * of[1] + 1)), kind="stable")
         written = np.concatenate((2 * ids[0] + last[0], 2 * (len(self.bytes_a) + ids[1]) + last[1]))[order]
         parts = list(map(self.written.__getitem__, written.tolist()))
         stops = np.cumsum(n[0] + n[1]).tolist()
-        out, from_link, from_part = [], 0, 0
-        for count, to_link, to_part in zip(groups, links, stops):
-            out.append((count, tuple(pairs[from_link:to_link]), "".join(parts[from_part:to_part])[:-1]))
-            from_link, from_part = to_link, to_part
-        return out
-
-    def windows(self, keys: list[tuple[tuple[int, ...], tuple[int, ...]]]) -> list[tuple[int, tuple[int, ...], str]]:
-        """The alignments of different windows, remembered by their pairs of id tuples."""
-        young, old = self.young.get, self.old.get
-        found = [young(k) or old(k) for k in keys]
-        missing = [n for n, x in enumerate(found) if x is None]
-        if missing:
-            for n, x in zip(missing, self.align([keys[n] for n in missing])):
-                found[n] = x
+        return [
+            (count, pairs[i:j], "".join(parts[k:m])[:-1])
+            for count, i, j, k, m in zip(groups, [0, *links], links, [0, *stops], stops)
+        ]
+
+    def windows(self, ids: list[np.ndarray], starts: list[np.ndarray], stops: list[np.ndarray]) -> list[tuple[int, bytes, str]]:
+        """The alignments of different windows, remembered by their pairs of id tuples (each packed as numbers, A's length in front)."""
+        n = [b - a for a, b in zip(starts, stops)]
+        flat = [ids[side][_spread(starts[side], n[side])] for side in (0, 1)]
+        ends = np.cumsum(n[0] + n[1] + 1)
+        packed = np.empty(int(ends[-1]), np.uint32)
+        begins = ends - n[0] - n[1] - 1
+        packed[begins] = n[0]
+        packed[_spread(begins + 1, n[0])], packed[_spread(begins + 1 + n[0], n[1])] = flat
+        told = packed.tobytes()
+        keys = [told[i:j] for i, j in zip((4 * begins).tolist(), (4 * ends).tolist())]
+        found = list(map(self.young.get, keys))
+        missing = [at for at, x in enumerate(found) if x is None]
+        for at in missing:
+            found[at] = self.old.get(keys[at])
+        new = np.array([at for at in missing if found[at] is None], np.int64)
+        if len(new):
+            some = [ids[side][_spread(starts[side][new], n[side][new])] for side in (0, 1)]
+            for at, x in zip(new.tolist(), self.align(some, [n[0][new], n[1][new]])):
+                found[at] = x
         if len(self.young) >= REMEMBERED:
             self.old, self.young = self.young, {}
-        for key, x in zip(keys, found):
-            if len(self.young) < REMEMBERED and len(key[0]) + len(key[1]) <= REMEMBERED_TOKENS:
-                self.young[key] = x
+        for at in missing:
+            if len(self.young) < REMEMBERED and len(keys[at]) <= 4 * REMEMBERED_TOKENS:
+                self.young[keys[at]] = found[at]
         return found
 
     def documents(self, texts: list[str], tokens: tuple[list[np.ndarray], list[np.ndarray]]) -> Documents:
@@ -204,17 +211,16 @@ class Aligner:
             place = np.arange(len(ids[side])) - np.repeat(starts[side], stops[side] - starts[side])
             hashes += np.add.reduceat(_mixed((ids[side] | (side << 24) | place << 25).astype(np.uint64)), starts[side])
         _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = zip(*(_tuples(ids[side], starts[side][first], stops[side][first]) for side in (0, 1)))
-        known = self.windows(list(keys))
+        known = self.windows(ids, [x[first] for x in starts], [x[first] for x in stops])
         # Counts of windows to counts of documents.
         windows = np.searchsorted(stops[0], np.cumsum(n[0]))  # each document's last window
         of = np.repeat(np.arange(len(at)), np.diff(np.concatenate(([-1], windows))))
-        each_links = np.array([len(w[1]) for w in known], np.int64)
+        each_links = np.array([len(w[1]) for w in known], np.int64) // 8
         groups, links = np.array([w[0] for w in known], np.int64)[which], each_links[which]
         out.n_a[at], out.n_b[at] = n
         out.n_groups[at], out.n_links[at] = (np.bincount(of, x, len(at)).astype(np.int64) for x in (groups, links))
-        each = np.fromiter(chain.from_iterable([w[1] for w in known]), np.int64, int(each_links.sum()))
-        pairs = each[np.repeat((np.cumsum(each_links) - each_links)[which] - (np.cumsum(links) - links), links) + np.arange(int(links.sum()))]
+        each = np.frombuffer(b"".join([w[1] for w in known]), np.int64)
+        pairs = each[_spread((np.cumsum(each_links) - each_links)[which], links)]
         limit = len(self.bytes_a) * self.size_b
         found, out.times = np.unique(np.repeat(of, links) * limit + pairs, return_counts=True)
         out.pairs = found % limit
@@ -236,12 +242,10 @@ class Documents:
         self.pairs = self.times = np.array([], np.int64)
 
 
-def _tuples(ids: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, ...]]:
-    """The ids from each start to its stop."""
-    lengths = stops - starts
+def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """starts, starts + 1, ... of each length, laid end to end."""
     ends = np.cumsum(lengths)
-    flat = ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])].tolist()
-    return [tuple(flat[i:j]) for i, j in zip((ends - lengths).tolist(), ends.tolist())]
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
