@@ -36,7 +36,7 @@ def test_no_window_lacks_a_partition(spark):
     for found in (running_sum(rows, "at", "n", "total"), previous(rows, "at", ["n"])):
         plan = found._jdf.queryExecution().optimizedPlan().toString()
         windows = [line for line in plan.splitlines() if "Window [" in line]
-        assert len(windows) == 3 and all("_day" in w or "_block" in w or "_all" in w for w in windows)
+        assert len(windows) >= 3 and all("_day" in w or "_block" in w or "_all" in w for w in windows)
 
 
 def grid_alarms(logs, alerts, quality, limit):

@@ -33,15 +33,23 @@ def append_logs(logs: DataFrame, path: str, rebalance: bool = True) -> None:
 
     Rows are first rebalanced by day: adaptive execution merges small days into one task and splits a
     day that holds much of the data over several, so files come out neither tiny nor huge. Input that
-    is already in day order can skip that shuffle. Rows without ids are numbered on from the largest stored id; a table has
-    one writer at a time.
+    is already in day order can skip that shuffle. Rows without ids are numbered on from the largest id given so far, which
+    the table's commit log tells without reading the table; see ``commits``.
     """
-    if "id" not in logs.columns:
-        logs = with_ids(logs, last_id(logs.sparkSession, path))
-    rows = logs.withColumn("date", F.to_date("timestamp"))
-    if rebalance:
-        rows = rows.hint("rebalance", "date")
-    rows.write.mode("append").partitionBy("date").parquet(path)
+    def store(rows: DataFrame) -> None:
+        rows = rows.withColumn("date", F.to_date("timestamp"))
+        (rows.hint("rebalance", "date") if rebalance else rows).write.mode("append").partitionBy("date").parquet(path)
+
+    spark = logs.sparkSession
+    log = CommitLog(spark, path)
+    if "id" in logs.columns:
+        store(logs)
+        return
+    with scratch(spark):
+        rows = with_ids(logs)
+        counts = rows.groupBy(F.to_date("timestamp").cast("string").alias("day")).count().collect()  # one row per day
+        days, total = sorted(r["day"] for r in counts if r["day"] is not None), sum(r["count"] for r in counts)
+        log.append(total, days, lambda before: store(rows.withColumn("id", F.col("id") + F.lit(before))), lambda: last_id(spark, path))
 
 
 def last_id(spark: SparkSession, path: str) -> int:
