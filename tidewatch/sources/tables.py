@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,7 +43,9 @@ def append_logs(logs: DataFrame, path: str, rebalance: bool = True) -> None:
     spark = logs.sparkSession
     log = CommitLog(spark, path)
     if "id" in logs.columns:
-        store(logs)
+        seen = Observation()
+        store(logs.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("id").alias("last")))
+        log.note(seen.get["rows"], seen.get["last"] or 0, lambda: last_id(spark, path))
         return
     with scratch(spark):
         rows = with_ids(logs)
