@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,9 +43,8 @@ def append_logs(logs: DataFrame, path: str, rebalance: bool = True) -> None:
     spark = logs.sparkSession
     log = CommitLog(spark, path)
     if "id" in logs.columns:
-        seen = Observation()
-        store(logs.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("id").alias("last")))
-        log.note(seen.get["rows"], seen.get["last"] or 0, lambda: last_id(spark, path))
+        log.forget()
+        store(logs)
         return
     with scratch(spark):
         rows = with_ids(logs)
@@ -56,7 +55,7 @@ def append_logs(logs: DataFrame, path: str, rebalance: bool = True) -> None:
 
 def last_id(spark: SparkSession, path: str) -> int:
     """The largest id of a stored table, 0 without one: from its commit log, else by a scan of the ids."""
-    if (newest := CommitLog(spark, path).newest()) is not None:
+    if (newest := CommitLog(spark, path).newest()) is not None and newest.known:
         return newest.last_id
     if not exists(spark, path) or "id" not in (stored := spark.read.parquet(path)).columns:
         return 0
