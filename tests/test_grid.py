@@ -58,6 +58,19 @@ def test_grid_equals_single_fits(data, holes):
                 assert scored[one.config.name, r.log_id] == pytest.approx(r.score, abs=1e-12)
 
 
+def test_the_driver_reads_single_models(data, monkeypatch):
+    """Fitting collects no nodes; scoring holds one run of models at a time and gives the scores of all at once."""
+    rows = data.withColumn("part", F.lit("a"))
+    read, plain = [], I.IsolationGrid.model
+    monkeypatch.setattr(I.IsolationGrid, "model", lambda grid, part, number: read.append(number) or plain(grid, part, number))
+    models = I.fit_isolation_grid(rows, COLUMNS, configs())["a"]
+    assert not read and len(models) == 6 and models[-1].config == configs()[-1] and read == [5]
+    once = {(r.config, r.log_id): r.score for r in I.isolation_grid_scores(rows, models).collect()}
+    monkeypatch.setattr(I, "NODES_A_PASS", 300)
+    assert len(list(I._passes(models))) > 2
+    assert {(r.config, r.log_id): r.score for r in I.isolation_grid_scores(rows, models).collect()} == once and len(once) == 3000
+
+
 def test_fold_ranges_hold_the_rows_of_the_folds(data):
     stored = D.by_time(data)
     want = {(r.fold, r.split, r.log_id) for r in D.backtest_folds(data).collect()}
