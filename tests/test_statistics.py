@@ -159,3 +159,32 @@ def test_isolation_only_and_promotion(spark):
     row = V.isolation_only(df).first()
     assert (row["reviewed"], row["hits"], row["precision"]) == (2, 1, 0.5) and row["anomaly_coverage"] == pytest.approx(1 / 3)
     assert V.promotion(df).first()["promoted"] is False and V.promotion(df, 3).first()["promoted"] is True
+
+
+def test_misaligned_counts_repeated_rows_once_per_side(spark):
+    """Repeated and null rows as exceptAll counts them, with one grouping for both directions."""
+    rows = [(1, "a"), (1, "a"), (1, "a"), (2, None), (None, None), (3, "c")]
+    left = spark.createDataFrame(rows, "x int, y string")
+    right = spark.createDataFrame([(1, "a"), (2, None), (2, None), (3, "c"), (4, "d")], "x int, y string")
+    found = D.misaligned(left, right, ["x", "y"])
+    want = left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.count() == 5
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+
+
+def test_protocol_and_correlations_run_their_input_once(spark):
+    """What makes the rows runs for the rows only, not again for each statistic over them."""
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    times = spark.range(40).selectExpr("id log_id", "timestamp_seconds(id * 60) timestamp", "CAST(id % 7 AS double) a", "CAST(id % 5 AS double) b", "'{\"scenario\":\"normal\"}' data")
+    rows = times.mapInArrow(seen, times.schema)
+    assert D.with_protocol(rows).count() == 40 and runs.value == 40
+    assert set(D.with_protocol(D.with_scenario(times)).columns) == set(D.with_protocol(times).columns) - {"data"}
+    before = runs.value
+    assert D.correlations(rows, ["a", "b"]).count() == 1 and runs.value - before == 40
