@@ -42,7 +42,7 @@ def build_datasets(
     """
     spark = logs.sparkSession
     features = extract_features(lookback(logs, days, as_of))
-    rows = written(D.with_protocol(D.label_logs(features, members)).select(*SHARED, *FEATURES), "labelled")
+    rows = written(D.with_protocol(D.with_scenario(D.label_logs(features, members))).select(*SHARED, *FEATURES), "labelled")
     rate = D.check_labels(rows)
     _, left = D.drop_correlated(rows, FEATURES)
     isolation_columns = isolation_features(left)
