@@ -9,8 +9,9 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tidewatch.llm import alignment, clusters, minhash, pages, quality
+from tidewatch.llm import alignment, bpe, clusters, minhash, pages, quality
 from tidewatch.llm.common import ready
 
 SCHEMA = (
@@ -348,3 +349,15 @@ def test_byte_alphabet():
 
     assert sorted(alignment.byte_alphabet()) == sorted(pre_tokenizers.ByteLevel.alphabet())
     assert sorted(alignment.byte_alphabet().values()) == list(range(256))
+
+
+def test_ranks_found_by_check_sum_alone_change_nothing(spark, monkeypatch):
+    words = ready(spark).createDataFrame([(" thoreror",), (" otherword",), ("x",), ("naïve日本",)], "word string")
+    encodings = []
+    for buckets in (bpe._TOKEN_BUCKETS, 1 << 9):  # in 512 buckets about a hundred tokens share each check sum
+        monkeypatch.setattr(bpe, "_TOKEN_BUCKETS", buckets)
+        codec = bpe.public_codec()
+        encodings.append({r.word: r.ids for r in words.select("word", codec.fold(F.col("word")).alias("ids")).collect()})
+    assert encodings[0] == encodings[1] and len(encodings[0]) == 4
+    # A word's parts are looked up, not compared with the tokens one by one.
+    assert "array_position" not in str(codec.fold(F.col("word")))

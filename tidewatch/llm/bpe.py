@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
-A text is cut into words by the tokenizer's pattern. All parts of a word's byte array that are tokens are looked up in a literal
-rank map, which also has each token's merge, the two tokens it is made of. A fold in order of rank then applies these merges to
-the word, each at all its places; the word is kept as text in which one character stands for one token. This is the result of
+A text is cut into words by the tokenizer's pattern. All parts of a word's byte array that may be tokens are looked up by their check
+sum in a literal rank map; a second one has each token's merge, the two tokens it is made of. A fold in order of rank then applies these
+merges to the word, each at all its places; the word is kept as text in which one character stands for one token. A rank found only
+because its token shares a check sum with some part changes nothing: its two tokens never stand side by side. This is the result of
 merging the leftmost pair of lowest rank again and again, for a vocabulary in which each token's own bytes encode to it (checked
 when the vocabulary is read): then a token arises from one pair only, and a merge never makes a pair of lower rank.
 
@@ -30,7 +31,7 @@ from tidewatch.session import written
 #: Most frequent words whose encodings are kept as a literal, at most.
 DICTIONARY = 1 << 16
 
-_TOKEN_BUCKETS = 1 << 15
+_TOKEN_BUCKETS = 1 << 18
 _WORD_BUCKETS = 1 << 14
 #: Tokens of several bytes are the characters from here on, by rank; single bytes are the characters 0 to 255.
 _ABOVE = 0x10000
@@ -80,24 +81,23 @@ class Codec:
 
     @cached_property
     def _rank_map(self) -> Column:
-        """Buckets of tokens of several bytes and their ranks."""
-        buckets = [{"k": [], "v": []} for _ in range(_TOKEN_BUCKETS)]
+        """By the end of the check sum: the ranks of the tokens of several bytes that have it, null if there are none."""
+        buckets: list[list[int] | None] = [None] * _TOKEN_BUCKETS
         for token in self.merges:
-            bucket = buckets[zlib.crc32(token) % _TOKEN_BUCKETS]
-            bucket["k"].append(base64.b64encode(token).decode())
-            bucket["v"].append(self.ranks[token])
-        return _constant(buckets, "array<struct<k:array<binary>,v:array<int>>>")
+            at = zlib.crc32(token) % _TOKEN_BUCKETS
+            buckets[at] = [*(buckets[at] or []), self.ranks[token]]
+        return _constant(buckets, "array<array<int>>")
 
     @cached_property
     def _merges(self) -> Column:
-        """By rank: each token as one character, and the ranks of the two tokens it is made of (-1 for a single byte)."""
+        """By rank: each token as one character, and the two tokens it is made of as two (null for a single byte)."""
         tokens = sorted(self.ranks, key=self.ranks.get)
         if [self.ranks[t] for t in tokens] != list(range(len(tokens))):
             raise ValueError("ranks must be 0, 1, 2, ... without gaps")
         parts = [self.merges.get(t) for t in tokens]
         return _constant(
-            {"c": [self._char(t) for t in tokens], "l": [self.ranks[p[0]] if p else -1 for p in parts], "r": [self.ranks[p[1]] if p else -1 for p in parts]},
-            "struct<c:array<string>,l:array<int>,r:array<int>>",
+            {"one": [self._char(t) for t in tokens], "two": [self._char(p[0]) + self._char(p[1]) if p else None for p in parts]},
+            "struct<one:array<string>,two:array<string>>",
         )
 
     @cached_property
@@ -118,26 +118,20 @@ class Codec:
         """The ids of one word, as text joined by commas."""
 
         def ranks(maps: Column, raw: Column) -> Column:
-            """Of all parts that are tokens, in order; a part found twice gives a merge that does nothing the second time."""
-
-            def rank(part: Column) -> Column:
-                bucket = F.get(maps, (F.crc32(part) % _TOKEN_BUCKETS).cast("int"))
-                return _bound(bucket, lambda b: F.get(b["v"], F.array_position(b["k"], part).cast("int") - 1))
+            """Of all parts that may be tokens, in order; a rank found twice gives a merge that does nothing the second time."""
+            last = F.lit(_TOKEN_BUCKETS - 1).cast("long")
 
             def from_place(at: Column) -> Column:
                 ends = F.sequence(F.lit(2), F.least(F.lit(self.longest), F.length(raw) - at + 1))
-                return F.transform(ends, lambda n: rank(F.substring(raw, at, n)))
+                return F.transform(ends, lambda n: F.get(maps, F.crc32(F.substring(raw, at, n)).bitwiseAND(last).cast("int")))
 
             found = F.flatten(F.transform(F.sequence(F.lit(1), F.length(raw) - 1), from_place))
-            return F.sort_array(F.filter(found, lambda x: x.isNotNull()))
-
-        def two(steps: Column, rank: Column) -> Column:
-            return F.concat(F.get(steps["c"], F.get(steps["l"], rank)), F.get(steps["c"], F.get(steps["r"], rank)))
+            return F.sort_array(F.flatten(F.filter(found, lambda x: x.isNotNull())))
 
         def merged(steps: Column, raw: Column) -> Column:
             found = _bound(self._rank_map, lambda maps: ranks(maps, raw))
             text = F.decode(raw, "ISO-8859-1")
-            apply = F.aggregate(found, text, lambda t, r: F.replace(t, two(steps, r), F.get(steps["c"], r)))
+            apply = F.aggregate(found, text, lambda t, r: F.replace(t, F.get(steps["two"], r), F.get(steps["one"], r)))
             return F.when(F.length(raw) < 2, text).otherwise(apply)
 
         text = _bound(self._merges, lambda steps: _bound(word.cast("binary"), lambda raw: merged(steps, raw)))
