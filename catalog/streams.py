@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import logs, shown, with_ctes
+from catalog.common import LOG_BLOCK, logs, shown, stored_logs, with_ctes
 from catalog.detection import ALERTS_CTE, RECENT_CTE
 from catalog.ingestion import COMBINED_CTE, combined_lines
 from catalog.models import ISOLATION, dataset
@@ -140,24 +140,28 @@ def _score(spark, folder):
     return shown(spark.read.parquet(table).select("log_id", "rule_score", "final_score", "severity", "triggered_rules"))
 
 
-def _in_steps(spark, folder, steps=5):
-    """The logs as a stream of so many batches, cut at any second."""
-    source = shared_folder(spark, "steps")
-    rows = logs(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+def _steps(rows, count=5):
+    """The logs cut at any second into so many parts of equal time."""
     low, high = rows.agg(F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
-    step = F.floor(F.lit(steps) * (F.unix_micros("timestamp") - low) / (high - low + 1))
-    for number in range(steps):
-        rows.filter(step == number).coalesce(1).write.mode("append").parquet(source)
-    return rows, spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    edges = [low + (high + 1 - low) * number // count for number in range(count + 1)] if low is not None else []
+    times = [F.timestamp_micros(F.lit(edge)) for edge in edges]
+    return [rows.filter((F.col("timestamp") >= first) & (F.col("timestamp") < last)) for first, last in zip(times, times[1:])]
+
 
+def _scored_in_steps(spark, folder, decided=None, raw=None):
+    """Scores of five batches, with profiles stored by a batch: (all logs, profiles, store).
 
-def _scored_in_steps(spark, folder, decided=None):
-    """Scores of five batches, with profiles stored by a batch: (all logs, profiles, store)."""
-    rows, stream = _in_steps(spark, folder)
-    store, profiles = shared_folder(spark, "scored"), shared_folder(spark, "profiles")
+    The stream is run again for each part of the logs, which is written by as many tasks as read it: a run takes what is new as one batch.
+    """
+    raw = stored_logs(spark, folder) if raw is None else raw
+    rows = raw.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    source, store, checkpoint, profiles = (shared_folder(spark, name) for name in ("steps", "scored", "cp", "profiles"))
     E.store_profiles(rows, profiles)
     known = E.load_profiles(spark, profiles)
-    J.score_closed(stream, store, shared_folder(spark, "cp"), decided or decide, known, "1 day", "2 hours").awaitTermination()
+    for part in _steps(rows):
+        part.write.mode("append").option("parquet.block.size", LOG_BLOCK).parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        J.score_closed(stream, store, checkpoint, decided or decide, known, "1 day", "2 hours").awaitTermination()
     return rows, known, store
 
 
@@ -169,13 +173,15 @@ def _score_batches(spark, folder):
 def _score_model(spark, folder):
     """A stored isolation forest over five batches against the same forest over all logs at once."""
     path = shared_folder(spark, "isolation")
-    data = dataset(spark, folder)
+    raw = stored_logs(spark, folder)
+    data = dataset(spark, folder, raw)
     I.save_isolation(I.fit_isolation(data.filter("label = 0"), FEATURES, ISOLATION), spark, path)
     decided = J.model_decisions(spark, path)
-    rows, _, store = _scored_in_steps(spark, folder, decided)
+    rows, _, store = _scored_in_steps(spark, folder, decided, raw)
     found = spark.read.parquet(f"{store}/scores").select("log_id", F.struct("rule_score", "final_score", "severity", "triggered_rules").alias("stream"))
     alerts = J.window_alerts(rows, "1 day")
-    batch = S.hybrid_scores(decided(E.extract_features(rows)), J.windowed_alert_logs(rows, alerts, "1 day"))
+    # The data set holds the features of all logs at once.
+    batch = S.hybrid_scores(decided(data), J.windowed_alert_logs(rows, alerts, "1 day"))
     both = found.join(batch.select("log_id", F.struct("rule_score", "final_score", "severity", "triggered_rules").alias("batch")), "log_id")
     near = F.abs(F.col("stream.final_score") - F.col("batch.final_score")) < 0.00011
     return both.agg(
