@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import bpe, exact_dedup, mixing, quality, simhash
 from tidewatch.llm.common import ready, table
-from tidewatch.session import written
+from tidewatch.session import release, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,6 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if number + 1 < len(STAGES):
             docs = written(docs, f"stage-{number + 1}")
+            release(spark)
     return docs
 
 

@@ -44,3 +44,16 @@ def test_registered():
     names = {n for n in __spark_entry__.queries() if n.startswith("op")}
     assert {f"op{n}_" for n in range(1, 11)} <= {n[: n.index("_") + 1] for n in names if n[2].isdigit()}
     assert "pipeline" in __spark_entry__.queries()
+
+
+def test_what_stages_leave_on_the_driver_is_collected_before_the_next(spark, monkeypatch):
+    kept = [("first", lambda spark, docs, folder: docs), ("second", lambda spark, docs, folder: docs)]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", kept)
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+
+    def whole_collections():
+        return sum(b.getCollectionCount() for b in beans if any(name in b.getName() for name in ("Old", "MarkSweep", "Major")))
+
+    before = whole_collections()
+    assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() == 200
+    assert whole_collections() > before

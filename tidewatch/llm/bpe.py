@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import table
-from tidewatch.session import written
+from tidewatch.session import release, written
 
 #: Most frequent words whose encodings are kept as a literal, at most.
 DICTIONARY = 1 << 16
@@ -182,6 +182,7 @@ def common_words(docs: DataFrame, codec: Codec, most: int = DICTIONARY) -> dict[
 def encode(docs: DataFrame, codec: Codec, most: int = DICTIONARY) -> DataFrame:
     """The columns of docs as `row`, and `ids`: an array of ids as text."""
     common = common_words(docs, codec, most)
+    release(docs.sparkSession)  # the plans that counted and folded them hold tables of megabytes, and so will the next
     ids = codec.encoded(codec.words(F.col("text").cast("string")), common)
     rows = docs.select(F.struct("*").alias("row"), ids.alias("joined"))
     return rows.select("row", F.when(F.col("joined") == "", F.array().cast("array<string>")).otherwise(F.split("joined", ",")).alias("ids"))
