@@ -486,3 +486,19 @@ def test_empty_tables(nothing):
     assert bpe.digests(nothing, bpe.public_codec()).count() == 0
     assert token_counts.counted(nothing, {"a": 0.0}).count() == 0
     assert pii.pseudonymised(nothing).count() == 0
+
+
+def test_token_counts_try_only_lengths_of_pieces_and_share_prefixes():
+    import public_tokenizers
+
+    pieces = token_counts.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    vocabulary = token_counts.Vocabulary(pieces)
+    for tail in ("ing", "the", "é", "日本", "▁a", "zqx", "▁▁▁"):
+        ends = {len(p) for p in pieces if p.endswith(tail)} if len(tail) == token_counts.TAIL else set()
+        ends |= {len(tail[at:]) for at in range(len(tail)) if tail[at:] in pieces}
+        assert vocabulary.lengths_at(tail) == sorted(ends, reverse=True)
+    units = ["▁undeinungbepf", "▁undeinungs", "▁undei", "▁und", "▁" * 9, "日本語🙂日本語"]
+    alone = [token_counts.Vocabulary(pieces).unit_counts(u) for u in units]
+    assert [vocabulary.unit_counts(u) for u in units] == alone and set(vocabulary.heads) == {u[: token_counts.HEAD] for u in units if len(u) > token_counts.HEAD}
+    assert [vocabulary.unit_count("q" * 700), vocabulary.unit_count("▁und")] == [token_counts.Vocabulary(pieces).unit_counts("q" * 700)[-1], alone[3][-1]]
+    assert set(vocabulary.young) == {"▁und"}  # a worker's memory is bounded in characters too

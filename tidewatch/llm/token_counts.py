@@ -3,11 +3,12 @@
 For each prefix the last token of its encoding is the one token that ends there and may follow the last token of the prefix
 before it; two tokens may follow each other if merging the characters of both gives the two again. The count is one more than
 that prefix's. No piece of the vocabulary reaches over a word start (a blank after another character) or over a line end, so a
-text is a sequence of units with counts of their own, and equal units are counted once per worker (a bounded memory of units).
+text is a sequence of units with counts of their own, and equal units are counted once per worker (a bounded memory of units); so
+are the prefixes that units begin with.
 Budget questions, such as the longest prefix within a limit, are answered from these counts without encoding again.
 
 Blanks become the vocabulary's blank mark, with one more in front of a text that is not empty. Characters that the vocabulary
-lacks count as their UTF-8 bytes. Special strings are ordinary text. Defined results: null text counts as empty: 0 bytes, 0 tokens.
+lacks count as their UTF-8 bytes. A table says which lengths the pieces have that end as a prefix does, so no others are tried. Special strings are ordinary text. Defined results: null text counts as empty: 0 bytes, 0 tokens.
 Repeated rows give repeated rows. Other columns of the input are not read. An empty table gives an empty result.
 """
 
@@ -24,8 +25,12 @@ from tidewatch.llm.common import arrow, table
 
 LIMIT = 4096
 MARK = "▁"
-#: Units that a worker remembers, in each of two generations.
-REMEMBERED = 200_000
+#: Units that a worker remembers, in each of two generations; the longest of them in characters.
+REMEMBERED, LONGEST_REMEMBERED = 500_000, 64
+#: Characters of the prefixes from which units are counted on.
+HEAD = 5
+#: Characters at the end of a prefix that decide which lengths of tokens are tried there.
+TAIL = 3
 
 _UNITS = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 
@@ -39,13 +44,22 @@ class Vocabulary:
     line_end_is_apart: bool = True
     order: dict[str, int] = field(default_factory=dict)
     splits: dict[str, list[str]] = field(default_factory=dict)
-    follows: dict[tuple[str, str], bool] = field(default_factory=dict)
+    #: By the places of both in order, as one number.
+    follows: dict[int, bool] = field(default_factory=dict)
+    endings: dict[str, list[int]] = field(default_factory=dict)
+    lengths: dict[str, list[int]] = field(default_factory=dict)
+    heads: dict[str, tuple[list, list, list]] = field(default_factory=dict)
     young: dict[str, int] = field(default_factory=dict)
     old: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self):
         self.longest = max(map(len, self.scores))
         self.order = {piece: at for at, piece in enumerate(sorted(self.scores, key=lambda p: -self.scores[p]))}
+        endings: dict[str, set[int]] = {}
+        for piece in self.scores:
+            if len(piece) >= TAIL:
+                endings.setdefault(piece[-TAIL:], set()).add(len(piece))
+        self.endings = {tail: sorted(found, reverse=True) for tail, found in endings.items()}
         self.line_end_is_apart = not any("\n" in piece for piece in self.scores)
         crossing = [p for p in self.scores if MARK in p[1:] and p.strip(MARK)]
         if crossing:
@@ -97,31 +111,64 @@ class Vocabulary:
             else:
                 right_next, right = right_born, self.split(right)[0]
 
-    def may_follow(self, left: str, right: str) -> bool:
-        known = self.follows.get((left, right))
-        if known is None:
-            if len(self.follows) > REMEMBERED:
-                self.follows.clear()
-            # Runs of blanks have one score for several lengths, so their merges have no order of their own.
-            runs = left[-2:] == MARK * 2 or right[:2] == MARK * 2 or left[-1:] == right[:1] == MARK
-            known = self.merged(left + right) == [left, right] if runs else self.stay_apart(left, right)
-            self.follows[left, right] = known
+    def may_follow(self, left: str, right: str, key: int) -> bool:
+        """Key: the places of both in order, as one number under which the answer is kept."""
+        if len(self.follows) > REMEMBERED:
+            self.follows.clear()
+        # Runs of blanks have one score for several lengths, so their merges have no order of their own.
+        runs = left[-2:] == MARK * 2 or right[:2] == MARK * 2 or left[-1:] == right[:1] == MARK
+        known = self.follows[key] = self.merged(left + right) == [left, right] if runs else self.stay_apart(left, right)
+        return known
+
+    def lengths_at(self, tail: str) -> list[int]:
+        """Lengths, longest first, of the pieces that may end where these characters end: TAIL of them, or all there are."""
+        if len(self.lengths) > REMEMBERED:
+            self.lengths.clear()
+        found = self.endings.get(tail, []) if len(tail) == TAIL else []
+        known = self.lengths[tail] = found + [n for n in range(min(TAIL - 1, len(tail)), 0, -1) if tail[-n:] in self.scores]
         return known
 
     def unit_counts(self, unit: str) -> list[int]:
         """Token counts of all prefixes of a unit, from the empty one."""
-        scores, counts, last = self.scores, [0], [""]
-        for end in range(1, len(unit) + 1):
-            for start in range(max(0, end - self.longest), end):
+        if len(unit) <= HEAD:
+            return self.counted_on(unit, [0], [-1], [""])[0]
+        head = unit[:HEAD]
+        known = self.heads.get(head)
+        if known is None:
+            if len(self.heads) > REMEMBERED // 4:
+                self.heads.clear()
+            known = self.heads[head] = self.counted_on(head, [0], [-1], [""])
+        return self.counted_on(unit, *map(list.copy, known))[0]
+
+    def counted_on(self, unit: str, counts: list[int], places: list[int], last: list[str]) -> tuple[list, list, list]:
+        """Extends, to all prefixes of the unit: their counts, the place of their last token in order, and that token."""
+        order, lengths, follows, pieces = self.order, self.lengths, self.follows, len(self.order)
+        for end in range(len(counts), len(unit) + 1):
+            tail = unit[end - TAIL if end > TAIL else 0 : end]
+            tried = lengths.get(tail)
+            for length in self.lengths_at(tail) if tried is None else tried:
+                start = end - length
+                if start < 0:
+                    continue
                 token = unit[start:end]
-                if token in scores and (not start or not last[start] or self.may_follow(last[start], token)):
-                    counts.append(counts[start] + 1)
-                    last.append(token)
-                    break
+                place = order.get(token)
+                if place is None:
+                    continue
+                before = places[start]
+                if before >= 0:
+                    key = before * pieces + place
+                    known = follows.get(key)
+                    if not (self.may_follow(last[start], token, key) if known is None else known):
+                        continue
+                counts.append(counts[start] + 1)
+                places.append(place)
+                last.append(token)
+                break
             else:  # a character of its own bytes; nothing merges with it
                 counts.append(counts[end - 1] + len(unit[end - 1].encode()))
+                places.append(-1)
                 last.append("")
-        return counts
+        return counts, places, last
 
     def unit_count(self, unit: str) -> int:
         count = self.young.get(unit)
@@ -129,6 +176,8 @@ class Vocabulary:
             count = self.old.get(unit)
             if count is None:
                 count = self.unit_counts(unit)[-1]
+                if len(unit) > LONGEST_REMEMBERED:
+                    return count
             if len(self.young) >= REMEMBERED:
                 self.old, self.young = self.young, {}
             self.young[unit] = count
