@@ -502,3 +502,26 @@ def test_token_counts_try_only_lengths_of_pieces_and_share_prefixes():
     assert [vocabulary.unit_counts(u) for u in units] == alone and set(vocabulary.heads) == {u[: token_counts.HEAD] for u in units if len(u) > token_counts.HEAD}
     assert [vocabulary.unit_count("q" * 700), vocabulary.unit_count("▁und")] == [token_counts.Vocabulary(pieces).unit_counts("q" * 700)[-1], alone[3][-1]]
     assert set(vocabulary.young) == {"▁und"}  # a worker's memory is bounded in characters too
+
+
+def test_bpe_dictionary_gives_every_word_a_place_of_its_own(spark):
+    import base64
+    import zlib
+
+    common = {f"{a}{n}": f"{n},1" for n in range(4000) for a in (" w", "é", "")}
+    steps, known, ids = bpe._placed(common)
+    for word, joined in common.items():
+        upper, lower = divmod(zlib.crc32(word.encode()), 1 << bpe._PLACE_BITS)
+        at = lower + steps[upper]
+        assert base64.b64decode(known[at]).decode() == word and ids[at] == joined
+    assert sum(x is not None for x in known) == len(common) == sum(x is not None for x in ids)
+    assert bpe._placed({})[1:] == ([], [])
+
+
+def test_bpe_ids_are_numbers_and_text(spark):
+    codec = bpe.public_codec()
+    frame = ready(spark).createDataFrame([(1, "the cat thé"), (2, None)], "doc_id long, text string")
+    rows = bpe.encode(frame, codec)
+    assert dict(rows.dtypes)["ids"] == "array<int>"
+    for r in rows.collect():
+        assert r.joined == ",".join(map(str, r.ids)) and bool(r.ids) == bool(r.row.text)

@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding with Spark's higher-order functions.
 
-A text is cut into words by the tokenizer's pattern. All parts of a word's byte array that may be tokens are looked up by their check
-sum in a literal rank map; a second one has each token's merge, the two tokens it is made of. A fold in order of rank then applies these
+A text is cut into words by the tokenizer's pattern. The parts of a word's byte array that may be tokens, those of a length that tokens
+with the same first three bytes have, are looked up by their check sum in a literal rank map; one more literal has the two tokens that
+each token is made of. A fold in order of rank then applies these
 merges to the word, each at all its places; the word is kept as text in which one character stands for one token. A rank found only
 because its token shares a check sum with some part changes nothing: its two tokens never stand side by side. This is the result of
 merging the leftmost pair of lowest rank again and again, for a vocabulary in which each token's own bytes encode to it (checked
@@ -9,7 +10,7 @@ when the vocabulary is read): then a token arises from one pair only, and a merg
 
 The words of the corpus are counted, and the most frequent ones (at most `dictionary`, whose encodings become a literal too) are
 folded once for all documents; any other word is folded where it stands, by the same expression, so the dictionary's size changes
-the work and not the result. Decoding joins the byte pieces of the ids, as text in which each character stands for one byte.
+the work and not the result. Ids stay text, from the word to the document's digest. Decoding cuts that text into numbers and joins the byte pieces of the ids, as text in which each character stands for one byte.
 
 Letters, digits and blanks are those of the JVM's Unicode version. Defined results: null text counts as empty and has no ids.
 Repeated rows give repeated rows. Other columns of the input are not read. An empty table gives an empty result.
@@ -18,6 +19,7 @@ Repeated rows give repeated rows. Other columns of the input are not read. An em
 from __future__ import annotations
 
 import base64
+import itertools
 import json
 import zlib
 from functools import cached_property
@@ -29,10 +31,12 @@ from tidewatch.llm.common import table
 from tidewatch.session import release, written
 
 #: Most frequent words whose encodings are kept as a literal, at most.
-DICTIONARY = 1 << 16
+DICTIONARY = 1 << 17
 
 _TOKEN_BUCKETS = 1 << 18
-_WORD_BUCKETS = 1 << 14
+_START_BUCKETS = 1 << 16
+#: Bits of a check sum that give a word's place in the dictionary; the other bits give the step by which that place is moved.
+_PLACE_BITS = 18
 #: Tokens of several bytes are the characters from here on, by rank; single bytes are the characters 0 to 255.
 _ABOVE = 0x10000
 
@@ -42,11 +46,6 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def _bound(value: Column, body) -> Column:
-    """body(value), evaluating value once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _constant(value, kind: str) -> Column:
     """A literal of a nested type; folded to a constant when the query is planned."""
     return F.from_json(F.lit(json.dumps(value)), kind)
@@ -67,6 +66,25 @@ def merges_of(ranks: dict[bytes, int]) -> dict[bytes, tuple[bytes, bytes]]:
     return found
 
 
+def _placed(common: dict[str, str]) -> tuple[list[int], list[str | None], list[str | None]]:
+    """Steps by the upper bits of the check sum, and words (base 64) and their ids by place: the lower bits and the step, so that no two share one.
+
+    Of words with one check sum the first stays.
+    """
+    groups: dict[int, dict[int, str]] = {}
+    for word in common:
+        upper, lower = divmod(zlib.crc32(word.encode()), 1 << _PLACE_BITS)
+        groups.setdefault(upper, {}).setdefault(lower, word)
+    steps, taken = [0] * (1 << (32 - _PLACE_BITS)), {}
+    for upper in sorted(groups, key=lambda u: (-len(groups[u]), u)):
+        step = next(n for n in itertools.count() if not any(lower + n in taken for lower in groups[upper]))
+        steps[upper] = step
+        taken.update((lower + step, word) for lower, word in groups[upper].items())
+    places = range(max(taken, default=-1) + 1)
+    words = [base64.b64encode(taken[at].encode()).decode() if at in taken else None for at in places]
+    return steps, words, [common[taken[at]] if at in taken else None for at in places]
+
+
 class Codec:
     """Expressions for one vocabulary of ranks. All 256 single bytes must have a rank."""
 
@@ -81,24 +99,30 @@ class Codec:
 
     @cached_property
     def _rank_map(self) -> Column:
-        """By the end of the check sum: the ranks of the tokens of several bytes that have it, null if there are none."""
-        buckets: list[list[int] | None] = [None] * _TOKEN_BUCKETS
+        """By the end of the check sum: the tokens of several bytes that have it, as characters; null if there are none."""
+        buckets: list[str | None] = [None] * _TOKEN_BUCKETS
         for token in self.merges:
             at = zlib.crc32(token) % _TOKEN_BUCKETS
-            buckets[at] = [*(buckets[at] or []), self.ranks[token]]
-        return _constant(buckets, "array<array<int>>")
+            buckets[at] = (buckets[at] or "") + self._char(token)
+        return _constant(buckets, "array<string>")
 
     @cached_property
-    def _merges(self) -> Column:
-        """By rank: each token as one character, and the two tokens it is made of as two (null for a single byte)."""
+    def _lengths(self) -> Column:
+        """By the end of the check sum of three bytes: the lengths of the tokens that begin with them, always with 2; null for 2 alone."""
+        found: dict[int, set[int]] = {}
+        for token in self.merges:
+            if len(token) > 2:
+                found.setdefault(zlib.crc32(token[:3]) % _START_BUCKETS, {2}).add(len(token))
+        return _constant([sorted(found[at]) if at in found else None for at in range(_START_BUCKETS)], "array<array<int>>")
+
+    @cached_property
+    def _merged(self) -> Column:
+        """By rank: the two tokens that each token is made of, as two characters (null for a single byte)."""
         tokens = sorted(self.ranks, key=self.ranks.get)
         if [self.ranks[t] for t in tokens] != list(range(len(tokens))):
             raise ValueError("ranks must be 0, 1, 2, ... without gaps")
         parts = [self.merges.get(t) for t in tokens]
-        return _constant(
-            {"one": [self._char(t) for t in tokens], "two": [self._char(p[0]) + self._char(p[1]) if p else None for p in parts]},
-            "struct<one:array<string>,two:array<string>>",
-        )
+        return _constant([self._char(p[0]) + self._char(p[1]) if p else None for p in parts], "array<string>")
 
     @cached_property
     def _byte_ids(self) -> Column:
@@ -116,51 +140,41 @@ class Codec:
 
     def fold(self, word: Column) -> Column:
         """The ids of one word, as text joined by commas."""
+        return F.array_join(F.transform(F.array(word.cast("binary")), self._fold), "")
 
-        def ranks(maps: Column, raw: Column) -> Column:
-            """Of all parts that may be tokens, in order; a rank found twice gives a merge that does nothing the second time."""
-            last = F.lit(_TOKEN_BUCKETS - 1).cast("long")
-
-            def from_place(at: Column) -> Column:
-                ends = F.sequence(F.lit(2), F.least(F.lit(self.longest), F.length(raw) - at + 1))
-                return F.transform(ends, lambda n: F.get(maps, F.crc32(F.substring(raw, at, n)).bitwiseAND(last).cast("int")))
+    def _fold(self, raw: Column) -> Column:
+        """Of the variable of a higher-order function, which may be named often."""
 
-            found = F.flatten(F.transform(F.sequence(F.lit(1), F.length(raw) - 1), from_place))
-            return F.sort_array(F.flatten(F.filter(found, lambda x: x.isNotNull())))
+        def look(table: Column, buckets: int, at: Column, n: Column) -> Column:
+            return F.get(table, F.crc32(F.substring(raw, at, n)).bitwiseAND(F.lit(buckets - 1).cast("long")))
 
-        def merged(steps: Column, raw: Column) -> Column:
-            found = _bound(self._rank_map, lambda maps: ranks(maps, raw))
-            text = F.decode(raw, "ISO-8859-1")
-            apply = F.aggregate(found, text, lambda t, r: F.replace(t, F.get(steps["two"], r), F.get(steps["one"], r)))
-            return F.when(F.length(raw) < 2, text).otherwise(apply)
+        def from_place(at: Column) -> Column:
+            """What is cut off by the word's end is a shorter part of it, which may be looked up as well."""
+            lengths = F.coalesce(look(self._lengths, _START_BUCKETS, at, F.lit(3)), F.array(F.lit(2)))
+            return F.array_join(F.transform(lengths, lambda n: look(self._rank_map, _TOKEN_BUCKETS, at, n)), "")
 
-        text = _bound(self._merges, lambda steps: _bound(word.cast("binary"), lambda raw: merged(steps, raw)))
-        ids = _bound(self._byte_ids, lambda known: F.transform(
-            F.split(text, ""), lambda c: F.when(F.ascii(c) < 256, F.get(known, F.ascii(c))).otherwise(F.ascii(c) - _ABOVE)
-        ))
+        # Characters are in order of rank; one found twice gives a merge that does nothing the second time.
+        found = F.array_join(F.transform(F.sequence(F.lit(1), F.length(raw) - 1), from_place), "")
+        tokens = F.sort_array(F.array_remove(F.split(found, ""), ""))
+        text = F.aggregate(tokens, F.decode(raw, "ISO-8859-1"), lambda t, c: F.replace(t, F.get(self._merged, F.ascii(c) - _ABOVE), c))
+        ids = F.transform(F.split(text, ""), lambda c: F.coalesce(F.get(self._byte_ids, F.ascii(c)), F.ascii(c) - _ABOVE))
         return F.array_join(ids, ",")
 
     def encoded(self, words: Column, common: dict[str, str]) -> Column:
-        """The ids of an array of words, as text joined by commas; common has those of frequent words."""
-        buckets = [{"k": [], "v": []} for _ in range(_WORD_BUCKETS)]
-        for word, ids in common.items():
-            bucket = buckets[zlib.crc32(word.encode()) % _WORD_BUCKETS]
-            bucket["k"].append(word)
-            bucket["v"].append(ids)
-
-        def one(known: Column):
-            def look(word: Column) -> Column:
-                bucket = F.get(known, F.pmod(F.crc32(word.cast("binary")), F.lit(_WORD_BUCKETS)).cast("int"))
-                return F.coalesce(_bound(bucket, lambda b: F.get(b["v"], F.array_position(b["k"], word).cast("int") - 1)), self.fold(word))
-
-            return look
-
-        known = _constant(buckets, "array<struct<k:array<string>,v:array<string>>>")
-        return F.array_join(_bound(known, lambda k: F.transform(words, one(k))), ",")
+        """The ids of an array of words, as text joined by commas; common has those of frequent words, the most frequent first."""
+        steps, known, known_ids = _placed(common)
+        steps, known, known_ids = _constant(steps, "array<int>"), _constant(known, "array<binary>"), _constant(known_ids, "array<string>")
+        # Each literal stands in the plan once: every place that names it would be a copy of its own.
+        raws = words.cast("array<binary>")
+        sums = F.transform(raws, lambda w: F.crc32(w))
+        end = F.lit((1 << _PLACE_BITS) - 1).cast("long")
+        places = F.transform(sums, lambda s: s.bitwiseAND(end) + F.get(steps, F.shiftright(s, _PLACE_BITS)))
+        ids = F.zip_with(raws, places, lambda w, at: F.when(F.get(known, at) == w, F.get(known_ids, at)).otherwise(self._fold(w)))
+        return F.array_join(ids, ",")
 
     def decoded(self, ids: Column) -> Column:
-        """The bytes of an array of ids (as text)."""
-        return F.encode(_bound(self._pieces, lambda pieces: F.array_join(F.transform(ids, lambda i: F.get(pieces, i.cast("int"))), "")), "ISO-8859-1")
+        """The bytes of an array of ids."""
+        return F.encode(F.array_join(F.transform(ids, lambda i: F.get(self._pieces, i)), ""), "ISO-8859-1")
 
 
 def common_words(docs: DataFrame, codec: Codec, most: int = DICTIONARY) -> dict[str, str]:
@@ -175,25 +189,24 @@ def common_words(docs: DataFrame, codec: Codec, most: int = DICTIONARY) -> dict[
         least, total = n, total + step
     if least is None:
         return {}
-    chosen = counts.where(F.col("n") >= least).select("word", codec.fold(F.col("word")).alias("ids"))
-    return {row.word: row.ids for row in chosen.collect()}
+    chosen = counts.where(F.col("n") >= least).select("word", codec.fold(F.col("word")).alias("ids"), "n")
+    return {row.word: row.ids for row in sorted(chosen.collect(), key=lambda row: (-row.n, row.word))}
 
 
 def encode(docs: DataFrame, codec: Codec, most: int = DICTIONARY) -> DataFrame:
-    """The columns of docs as `row`, and `ids`: an array of ids as text."""
+    """The columns of docs as `row`, `ids`, and `joined`: the ids as text joined by commas."""
     common = common_words(docs, codec, most)
     release(docs.sparkSession)  # the plans that counted and folded them hold tables of megabytes, and so will the next
-    ids = codec.encoded(codec.words(F.col("text").cast("string")), common)
-    rows = docs.select(F.struct("*").alias("row"), ids.alias("joined"))
-    return rows.select("row", F.when(F.col("joined") == "", F.array().cast("array<string>")).otherwise(F.split("joined", ",")).alias("ids"))
+    rows = docs.select(F.struct("*").alias("row"), codec.words(F.col("text").cast("string")).alias("words"))
+    rows = rows.select("row", codec.encoded(F.col("words"), common).alias("joined"))
+    return rows.select("row", "joined", F.when(F.col("joined") == "", F.array().cast("array<int>")).otherwise(F.split("joined", ",").cast("array<int>")).alias("ids"))
 
 
 def digests(docs: DataFrame, codec: Codec, most: int = DICTIONARY) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     rows = encode(docs.select(F.col("doc_id").cast("long"), "text"), codec, most)
     return rows.select(
-        "row.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2(codec.decoded(F.col("ids")), 256).alias("decoded_sha256"),
+        "row.doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("joined", 256).alias("ids_sha256"), F.sha2(codec.decoded(F.col("ids")), 256).alias("decoded_sha256")
     )
 
 
