@@ -42,11 +42,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ready(spark)
     codec = bpe.public_codec()
     # The driver also holds what earlier stages left: a smaller dictionary, which changes the work and not the ids.
-    most = bpe.DICTIONARY // 8
+    most = bpe.TIER // 8
     text = F.coalesce(F.col("row.text"), F.lit("")).cast("binary")
-    return bpe.encode(docs.select("doc_id", "source", "text"), codec, most).select(
+    return bpe.encode_and_decode(docs.select("doc_id", "source", "text"), codec, most).select(
         "row.doc_id", "row.source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-        (codec.decoded(F.col("ids")) == text).alias("decoded"),
+        (F.col("decoded") == text).alias("decoded"),
     )
 
 

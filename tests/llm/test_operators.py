@@ -525,3 +525,24 @@ def test_bpe_ids_are_numbers_and_text(spark):
     assert dict(rows.dtypes)["ids"] == "array<int>"
     for r in rows.collect():
         assert r.joined == ",".join(map(str, r.ids)) and bool(r.ids) == bool(r.row.text)
+
+
+def test_bpe_tables_are_in_no_plan_and_in_no_row(spark, monkeypatch):
+    import public_tokenizers
+    import tiktoken
+
+    monkeypatch.setattr(bpe, "TIER", 1)
+    codec = bpe.public_codec()
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
+    texts = ["the cat the hat", "a cat", None, "the rarest thoreror"]
+    frame = ready(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tables = codec.stored(spark)
+    assert len(bpe.common_words(frame, codec, tables, 2)) == 2  # two tiers of one word; the other words are folded where they stand
+    rows = bpe.digests(frame, codec, 2)
+    plan = rows._jdf.queryExecution().optimizedPlan()
+    # Neither as text (megabytes before), nor as a column that is copied with each row.
+    assert len(plan.toString()) < 20_000 and "scalar-subquery" in plan.toString() and " AS tables#" not in plan.toString()
+    for r in rows.collect():
+        ids = library.encode_ordinary(texts[r.doc_id] or "")
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
